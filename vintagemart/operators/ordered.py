@@ -10,7 +10,7 @@ group, so it is small whatever the data, and is joined back by broadcast.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -63,7 +63,7 @@ def value_gaps(counted: DataFrame) -> DataFrame:
     ).withColumn("gap", F.col(VALUE) - F.col("previous_value"))
 
 
-def quantiles(counted: DataFrame, probabilities: dict[str, float]) -> DataFrame:
+def quantiles(counted: DataFrame, probabilities: Mapping[str, float]) -> DataFrame:
     """Exact discrete quantiles per group, one named column each.
 
     The quantile at p is the smallest value whose cumulated count reaches p of the rows.

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import is_missing_text
 from ..schemas import FEATURE_KEY
+from .checks import key_sides
 from .ordered import GROUP, VALUE, count_values, quantiles, unpivot
 from .rules import RAW_PREFIX
 
@@ -257,15 +258,20 @@ def rows_changed(both: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 # Numbers
 
-def numeric_distribution(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Minimum, median, upper percentiles, maximum and negative rows per column."""
+def value_spread(df: DataFrame, columns: Sequence[str], probabilities: Mapping[str, float]) -> DataFrame:
+    """Minimum, the given exact quantiles, maximum and negative rows per column."""
     counted = count_values(unpivot(df, columns, "double"))
     extremes = counted.groupBy(GROUP).agg(
         F.min(VALUE).alias("min"),
         F.max(VALUE).alias("max"),
         F.coalesce(F.sum(F.when(F.col(VALUE) < 0, F.col("n"))), F.lit(0)).alias("negative_rows"),
     )
-    return extremes.join(quantiles(counted, {"p50": 0.5, "p95": 0.95, "p99": 0.99}), GROUP)
+    # One row per column on either side.
+    return extremes.join(F.broadcast(quantiles(counted, probabilities)), GROUP)
+
+
+def numeric_distribution(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    return value_spread(df, columns, {"p50": 0.5, "p95": 0.95, "p99": 0.99})
 
 
 def parse_profile(raw: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -320,8 +326,6 @@ def derived_summary(df: DataFrame, columns: Sequence[str], digits: int = 6) -> D
 
 def coverage_by_snapshot(anchor: DataFrame, other: DataFrame) -> DataFrame:
     """Per snapshot: distinct anchor keys, those the other table holds, and their share."""
-    from .checks import key_sides
-
     sides = key_sides({"anchor": anchor, "other": other}).filter("anchor = 1")
     counts = sides.groupBy("snapshot_date").agg(
         F.count(F.lit(1)).alias("anchor_rows"), F.sum("other").alias("covered_rows")

@@ -112,7 +112,7 @@ def backfill_labels(
     land(mart, "loan_daily", source, months)
     clean(mart, "loan_daily", months)
     store = labels.label_store(mart.silver("loan_daily", months), days_past_due, month_on_book)
-    mart.write("gold", "label_store", store, months)
+    mart.write("gold", "label_store", store, months, gather=True)
     return mart.label_store(months)
 
 
