@@ -13,6 +13,7 @@ from dataclasses import dataclass, field
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from ..operators import checks, cleaning, features, labels, ledger
 from ..schemas import FEEDS
@@ -44,6 +45,7 @@ class Mart:
     root: str
     bronze_format: str = "parquet"
     written: dict[str, Written] = field(default_factory=dict)
+    schemas: dict[str, StructType] = field(default_factory=dict, repr=False)
 
     def path(self, layer: str, table: str) -> str:
         return f"{self.root.rstrip('/')}/{layer}/{table}"
@@ -51,32 +53,40 @@ class Mart:
     def write(self, layer: str, table: str, df: DataFrame, months, **how) -> Written:
         done = write_snapshots(df, self.path(layer, table), months, **how)
         self.written[f"{layer}/{table}"] = done
+        self.schemas[f"{layer}/{table}"] = df.schema
         return done
 
+    def _read(self, layer: str, table: str, months) -> DataFrame:
+        name = f"{layer}/{table}"
+        if name not in self.schemas:
+            self.schemas[name] = derived_schema(self.spark, layer, table)
+        return read_snapshots(self.spark, self.path(layer, table), self.schemas[name], months)
+
     def bronze(self, table: str, months=None) -> DataFrame:
         path = self.path("bronze", table)
         return read_snapshots(self.spark, path, FEEDS[table], months, fmt=self.bronze_format)
 
     def silver(self, table: str, months=None) -> DataFrame:
-        schema = silver_schema(self.spark, table)
-        return read_snapshots(self.spark, self.path("silver", table), schema, months)
+        return self._read("silver", table, months)
 
     def label_store(self, months=None) -> DataFrame:
-        schema = labels.label_store(ledger.silver_loan_daily(_no_rows(self.spark, "loan_daily"))).schema
-        return read_snapshots(self.spark, self.path("gold", "label_store"), schema, months)
+        return self._read("gold", "label_store", months)
 
     def feature_store(self, months=None) -> DataFrame:
-        silver = [SILVER[t](_no_rows(self.spark, t)) for t in ("attributes", "financials", "clickstream")]
-        schema = features.feature_store(*silver).schema
-        return read_snapshots(self.spark, self.path("gold", "feature_store"), schema, months)
+        return self._read("gold", "feature_store", months)
 
 
-def _no_rows(spark: SparkSession, table: str) -> DataFrame:
-    return spark.createDataFrame([], FEEDS[table])
+def derived_schema(spark: SparkSession, layer: str, table: str) -> StructType:
+    """The schema of a table, from the operators that build it applied to no rows."""
 
+    def silver(feed: str) -> DataFrame:
+        return SILVER[feed](spark.createDataFrame([], FEEDS[feed]))
 
-def silver_schema(spark: SparkSession, table: str):
-    return SILVER[table](_no_rows(spark, table)).schema
+    if layer == "silver":
+        return silver(table).schema
+    if table == "label_store":
+        return labels.label_store(silver("loan_daily")).schema
+    return features.feature_store(silver("attributes"), silver("financials"), silver("clickstream")).schema
 
 
 def land(mart: Mart, table: str, source: str, months: list[date]) -> Written:

@@ -123,9 +123,15 @@ def read_snapshots(
     *,
     fmt: str = "parquet",
 ) -> DataFrame:
-    """All snapshots of a table, or those of the given months that exist."""
-    if months is None and not snapshots_present(spark, path):
-        raise NoSnapshots(f"no snapshots in {path}")
+    """All snapshots of a table, or those of the given months that exist.
+
+    Asking for everything in a table without a snapshot is an error; asking for
+    months that do not exist gives no rows.
+    """
+    if not snapshots_present(spark, path):
+        if months is None:
+            raise NoSnapshots(f"no snapshots in {path}")
+        return spark.createDataFrame([], schema)
     df = spark.read.schema(schema).options(**_options(fmt)).format(fmt).load(path)
     df = df.select(*schema.names)
     if months is None:
