@@ -20,6 +20,9 @@ from .calendar import parse_day, slice_months
 PARTITION = "snapshot_date"
 FORMATS = ("parquet", "csv")
 
+# Fixed value: the folder Spark gives to rows without a date.
+NO_DATE = "__HIVE_DEFAULT_PARTITION__"
+
 # Quotes inside a value are doubled; blanks around a value are part of it.
 CSV_OPTIONS = {
     "header": True,
@@ -84,6 +87,7 @@ def write_snapshots(
     spark = df.sparkSession
     if gather:
         df = df.hint("rebalance", F.col(PARTITION))
+    # Observed in the stage that writes, where a task that is run again counts once.
     seen = Observation()
     counted = df.observe(
         seen,
@@ -112,7 +116,8 @@ def snapshots_present(spark: SparkSession, path: str) -> list[date]:
         return []
     names = [status.getPath().getName() for status in files.listStatus(folder) if status.isDirectory()]
     prefix = PARTITION + "="
-    return sorted(parse_day(name[len(prefix):]) for name in names if name.startswith(prefix))
+    days = [name[len(prefix):] for name in names if name.startswith(prefix)]
+    return sorted(parse_day(d) for d in days if d != NO_DATE)
 
 
 def read_snapshots(
