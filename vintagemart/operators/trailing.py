@@ -15,7 +15,10 @@ that holds a large share of a broken table fails instead of filling one task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from functools import reduce
+from operator import add
+
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import month_number
 from ..schemas import CLICK_FEATURES, CLICK_MEANS, FEATURE_KEY
@@ -54,29 +57,56 @@ def trailing_window(clicks: DataFrame) -> DataFrame:
     )
 
 
+def _mean(values: list[Column]) -> Column:
+    """Mean of the values that are known; NULL if none is."""
+    known = reduce(add, [v.isNotNull().cast("int") for v in values])
+    total = reduce(add, [F.coalesce(v.cast("double"), F.lit(0.0)) for v in values])
+    return F.try_divide(total, known)
+
+
 def trailing_for(keys: DataFrame, clicks: DataFrame) -> DataFrame:
     """The same columns for the given keys that have a current row.
 
-    The table crosses the network once, by (customer, month); the result comes
-    out partitioned by the full key, ready to be joined to the cohort.
+    The table crosses the network once, by (customer, month), with its features
+    packed into one array; the result comes out partitioned by the full key, ready
+    to be joined to the cohort.  The aggregate only puts the arrays of a key's
+    months side by side, and the means are taken over the arrays.  Sixty buffers or
+    sixty lookups, one set per feature, would make methods too long to be compiled.
     """
+    backs = range(HISTORY_MONTHS)
     lookback = keys.select(
-        *FEATURE_KEY, F.explode(F.sequence(F.lit(0), F.lit(HISTORY_MONTHS - 1))).alias("back")
+        *FEATURE_KEY, F.explode(F.array(*[F.lit(back) for back in backs])).alias("back")
     ).withColumn("month", F.add_months("snapshot_date", -F.col("back")))
     history = clicks.select(
-        F.col("customer_id"), F.col("snapshot_date").alias("month"), *CLICK_FEATURES
+        "customer_id", F.col("snapshot_date").alias("month"), F.array(*CLICK_FEATURES).alias("features")
+    )
+    months = [f"month_{back}" for back in backs]
+    side_by_side = lookback.join(history, ["customer_id", "month"]).groupBy(*FEATURE_KEY).agg(
+        F.count(F.lit(1)).alias("met_rows"),
+        *[F.max(F.when(F.col("back") == back, F.col("features"))).alias(m) for back, m in zip(backs, months)],
     )
-    met = lookback.join(history, ["customer_id", "month"])
-    is_current = F.col("back") == 0
-    month_bit = F.call_function("shiftleft", F.lit(1), F.col("back"))
-    months = F.bit_count(F.bit_or(month_bit))
-    trailing = met.groupBy(*FEATURE_KEY).agg(
-        only_if(F.count(F.lit(1)) == months, REPEATED, F.max(is_current.cast("int"))).alias("has_clickstream"),
-        *[F.max(F.when(is_current, F.col(name))).alias(name) for name in CLICK_FEATURES],
-        months.cast("bigint").alias("history_months"),
-        *[F.avg(name).alias(raw) for name, raw in zip(CLICK_FEATURES, RAW_MEANS)],
+    present = reduce(add, [F.col(m).isNotNull().cast("bigint") for m in months])
+    unique = only_if(F.col("met_rows") == present, REPEATED, F.col(months[0]).isNotNull().cast("int"))
+    # An absent month is an empty array, which the zip fills up with NULLs.
+    absent = F.array().cast("array<int>")
+    means = F.transform(F.arrays_zip(*months), lambda values: _mean([values[m] for m in months]))
+    rows = (
+        side_by_side.select(
+            *FEATURE_KEY,
+            unique.alias("has_clickstream"),
+            present.alias("history_months"),
+            *[F.coalesce(m, absent).alias(m) for m in months],
+        )
+        .select("*", means.alias("means"))
+        .select(
+            *FEATURE_KEY,
+            "has_clickstream",
+            *[F.get(months[0], F.lit(i)).alias(name) for i, name in enumerate(CLICK_FEATURES)],
+            "history_months",
+            *[F.get("means", F.lit(i)).alias(raw) for i, raw in enumerate(RAW_MEANS)],
+        )
     )
-    return trailing.filter("has_clickstream = 1")
+    return rows.filter("has_clickstream = 1")
 
 
 def gate_full_history(trailing: DataFrame) -> DataFrame:
