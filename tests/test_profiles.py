@@ -5,7 +5,6 @@ import random
 
 import pandas as pd
 import pytest
-from pyspark.sql import functions as F
 
 from vintagemart.operators import association, ordered, profiling
 from vintagemart.operators.rules import Rule, apply_rules
