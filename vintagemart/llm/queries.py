@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, quality, token_counts, toxicity
+from . import bpe, mixing, quality, repeats, reputation, secrets, token_counts, topk, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -53,3 +53,46 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     labels = table(spark, sf_dir, "labels").where(~toxicity.held_out())
     return toxicity.toxicity(docs, toxicity.fit(quality.training_rows(docs, labels, "toxic", toxicity.SAMPLE_ROWS)))
+
+
+# The rules for page urls.
+URL_RULES = [
+    reputation.Rule("net", "/", "block"),
+    reputation.Rule("example.net", "/en/", "allow"),
+    reputation.Rule("example.com", "/de/", "block"),
+    reputation.Rule("org", "/fr/", "allow"),
+]
+
+
+@query
+def op2_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages, labels = table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels")
+    host, path = reputation.host_and_path(F.col("url"))
+    # A page's path names the document it was made from; a bad page is one of low quality or a toxic one.
+    document = F.regexp_extract(path, r"^/[^/]*/([0-9]{1,18})", 1).try_cast("long")
+    bad = ((F.col("quality") == 0) | (F.col("toxic") == 1)).cast("int")
+    outcomes = pages.select(host.alias("host"), document.alias("doc_id")).join(labels, "doc_id").select("host", bad.alias("bad"))
+    return reputation.judge(pages, outcomes, URL_RULES)
+
+
+@query
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return secrets.scan(docs, secrets.learn(docs))
+
+
+@query
+def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = mixing.taken(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
+
+
+@query
+def op7_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+@query
+def op9_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"))
