@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, mixing, quality, repeats, reputation, secrets, token_counts, topk, toxicity
+from . import bpe, jaccard, mixing, quality, repeats, reputation, secrets, token_counts, topk, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -96,3 +96,8 @@ def op7_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.classes(table(spark, sf_dir, "documents"))
