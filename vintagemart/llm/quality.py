@@ -275,3 +275,18 @@ def judge(
     kind = docs.schema[id_column].dataType.simpleString()
     schema = f"`{id_column}` {kind}, " + "".join(f"{c} long, " for c in COUNTS) + "base_failed boolean, good_probability double, kept boolean"
     return docs.select(F.col(id_column), F.col(text_column).alias("text")).mapInArrow(run, schema)
+
+
+def keep_good(docs: DataFrame, model: QualityModel, *, text_column: str = "text", keep_from: float = KEEP_FROM) -> DataFrame:
+    """The rows that pass, columns as they are; a narrow job, no join."""
+    shared = docs.sparkSession.sparkContext.broadcast((model.weights.astype(np.float32), model.slope, model.offset))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        here = QualityModel(*shared.value)
+        for rows, texts in blocks(batches, text_column, BLOCK_BYTES):
+            counts = [base_counts(t) for t in texts]
+            good = here.probability(texts)
+            kept = [not base_fails(c[0], c[4]) and bool(p >= keep_from) for c, p in zip(counts, good)]
+            yield rows.filter(pa.array(kept, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
