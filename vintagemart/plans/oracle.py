@@ -147,7 +147,7 @@ from (select c_custkey as k, cast(round(c_acctbal*100) as bigint) as c from cust
 select 'CUS_'||cast(user_id as string) as Customer_ID,
  {', '.join(_fe(i) for i in range(1, 21))},
  cast({_month('extract(day from ts)-1')} as string) as snapshot_date
-from events where extract(day from ts)<=25 group by user_id, extract(day from ts)""",
+from events group by user_id, extract(day from ts)""",
     "missed_loan": """
 select *, installment_num as mob,
  case when due_amt <> 0 then cast(ceil(cast(overdue_amt as double)/cast(due_amt as double)) as int) end as installments_missed

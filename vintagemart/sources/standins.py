@@ -150,7 +150,6 @@ def clickstream(spark: SparkSession, sf_dir: str) -> DataFrame:
                {features},
                cast({_month('extract(day from ts)-1')} as string) as snapshot_date
         from {{events}}
-        where extract(day from ts)<=25
         group by user_id, extract(day from ts)
         """,
         events=table(spark, sf_dir, "events"),
