@@ -6,11 +6,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from vintagemart.operators import checks
-from vintagemart.plans.backfill import Mart, backfill_features, backfill_labels, build_feature_store, land_snapshot
+from vintagemart.plans import backfill
+from vintagemart.plans.backfill import (
+    Mart, backfill_features, backfill_labels, build_feature_store, clean, land, land_snapshot,
+)
 from vintagemart.schemas import ATTRIBUTES, FEEDS, LEDGER
 from vintagemart.sources import snapshots as S, standins
 from vintagemart.sources.calendar import months_between, parse_day, slice_months, trailing_months
-from vintagemart.sources.scratch import scratch_path, written
+from vintagemart.sources.scratch import discard, scratch_path, written
 
 
 @pytest.fixture(scope="module")
@@ -59,7 +62,7 @@ def test_unreadable_ledger_values_become_null(spark, tmp_path):
 
 def test_text_and_date_slices(spark):
     df = spark.createDataFrame([(" 2024-01-01", date(2024, 1, 1)), ("2024-01-01", date(2024, 1, 1))], "t string, d date")
-    assert slice_months(df, ["2024-01-01"], "t").count() == 1
+    assert slice_months(df, ["2024-01-01"], "t").count() == 2
     assert slice_months(df, ["2024-01-01"], "d").count() == 2
 
 
@@ -73,14 +76,81 @@ def test_writing_a_month_twice_changes_nothing_else(spark, tmp_path):
         assert rows(S.read_snapshots(spark, path, df.schema)) == rows(df)
 
 
-def test_month_that_lost_its_rows_loses_its_snapshot(spark, tmp_path):
+def test_month_that_lost_its_rows_keeps_its_snapshot_unless_told(spark, tmp_path):
     path = str(tmp_path / "t")
     df = spark.createDataFrame([(i, date(2024, 1 + i % 2, 1)) for i in range(4)], "v int, snapshot_date date")
     S.write_snapshots(df, path)
-    assert S.write_snapshots(df.limit(0), path, ["2024-02-01"]).rows == 0
+    assert S.write_snapshots(df.limit(0), path, ["2024-02-01"]) == S.Written(0, [], [date(2024, 2, 1)])
+    assert S.snapshots_present(spark, path) == [date(2024, 1, 1), date(2024, 2, 1)]
+    S.write_snapshots(df.limit(0), path, ["2024-02-01"], drop_emptied=True)
     assert S.snapshots_present(spark, path) == [date(2024, 1, 1)]
 
 
+def test_month_that_is_no_date_changes_nothing(spark, tmp_path):
+    path = str(tmp_path / "t")
+    good = spark.createDataFrame([(1, "2024-01-01")], "v int, snapshot_date string")
+    S.write_snapshots(good, path)
+    bad = spark.createDataFrame([(2, "2024-01-01"), (3, "soon")], "v int, snapshot_date string")
+    with pytest.raises(Exception, match="not a date"):
+        S.write_snapshots(bad, path)
+    assert [r.v for r in S.read_snapshots(spark, path, good.schema).collect()] == [1]
+
+
+def write_attributes(path, days):
+    path.write_text("Customer_ID,Name,Age,SSN,Occupation,snapshot_date\n" + "".join(f"C{i},n,30,1,x,{d}\n" for i, d in enumerate(days)))
+    return str(path)
+
+
+def test_padded_dates_are_landed_and_odd_ones_counted(spark, tmp_path):
+    source = write_attributes(tmp_path / "a.csv", ["2023-01-01", " 2023-01-01", "2023-01-15", "never"])
+    mart = Mart(spark, str(tmp_path / "m"))
+    assert land_snapshot(mart, "attributes", source, "2023-01-01").rows == 2
+    assert mart.unplaced["attributes"] == {"unreadable": 1, "off_month": 1}
+    assert S.snapshots_present(spark, mart.path("bronze", "attributes")) == [date(2023, 1, 1)]
+
+
+def test_a_source_without_an_older_month_deletes_nothing(spark, tmp_path):
+    months = months_between("2023-01-01", "2023-02-01")
+    mart = Mart(spark, str(tmp_path / "m"))
+    land(mart, "attributes", write_attributes(tmp_path / "a.csv", ["2023-01-01", "2023-02-01"]), months)
+    done = land(mart, "attributes", write_attributes(tmp_path / "b.csv", ["2023-02-01"]), months)
+    assert done.emptied == [date(2023, 1, 1)]
+    assert S.snapshots_present(spark, mart.path("bronze", "attributes")) == months
+
+
+@pytest.mark.parametrize("lose", [
+    lambda df: df.filter("snapshot_date <> date'2023-02-01'"),
+    lambda df: df.withColumn("snapshot_date", F.when(F.month("snapshot_date") == 1, F.col("snapshot_date"))),
+])
+def test_a_month_lost_in_silver_stops_the_run(spark, tmp_path, monkeypatch, lose):
+    months = months_between("2023-01-01", "2023-02-01")
+    root = str(tmp_path / "m")
+    land(Mart(spark, root), "attributes", write_attributes(tmp_path / "a.csv", ["2023-01-01", "2023-02-01"]), months)
+    right = backfill.SILVER["attributes"]
+    monkeypatch.setitem(backfill.SILVER, "attributes", lambda raw: lose(right(raw)))
+    # Another object than the one that landed the months.
+    with pytest.raises(checks.CheckFailed, match="2023-02-01: anchor 1, joined 0"):
+        clean(Mart(spark, root), "attributes", months)
+
+
+def test_repeated_key_is_found_where_silver_is_written(spark, tmp_path):
+    mart = Mart(spark, str(tmp_path / "m"))
+    source = tmp_path / "a.csv"
+    write_attributes(source, ["2023-01-01"])
+    source.write_text(source.read_text() + "C0,n,31,1,y,2023-01-01\n")
+    months = months_between("2023-01-01", "2023-01-01")
+    land(mart, "attributes", str(source), months)
+    with pytest.raises(checks.CheckFailed, match="silver attributes: 1 repeated"):
+        clean(mart, "attributes", months)
+
+
+def test_decimal_points_in_whole_ledger_columns(spark, tmp_path):
+    path = tmp_path / "loans.csv"
+    path.write_text(",".join(f.name for f in LEDGER) + "\nL1,C1,2023-01-01,10.0,6.0,1000,100,0,150,0,2023-07-01\n")
+    store = backfill_labels(Mart(spark, str(tmp_path / "m")), str(path), "2023-07-01", "2023-07-01")
+    assert [(r.loan_id, r.label) for r in store.collect()] == [("L1", 1)]
+
+
 def test_table_without_snapshots(spark, tmp_path):
     with pytest.raises(S.NoSnapshots):
         S.read_snapshots(spark, str(tmp_path / "none"), ATTRIBUTES)
@@ -96,8 +166,13 @@ def test_one_month_reads_one_partition(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(snapshot_date" in plan and "DataFilters: []" in plan
 
 
-def test_scratch_is_in_the_shared_folder(spark):
+def test_scratch_is_in_the_shared_folder(spark, tmp_path):
     assert scratch_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+    path = str(tmp_path / "gone")
+    spark.range(3).write.parquet(path)
+    discard(spark, path)
+    assert not (tmp_path / "gone").exists()
+    discard(spark, path)
     assert rows(written(spark.range(3).toDF("id"), "x")) == rows(spark.range(3))
 
 
@@ -131,12 +206,16 @@ def test_clickstream_may_be_absent_but_the_cohort_may_not(spark, feeds, tmp_path
         build_feature_store(mart, months_between("2023-01-01", "2023-03-01"))
 
 
-def test_repeated_cohort_key_stops_the_store(spark, feeds, tmp_path):
+def test_repeated_side_key_stops_the_store(spark, feeds, tmp_path):
     mart = Mart(spark, str(tmp_path / "m"))
     backfill_features(mart, feature_feeds(feeds), "2023-01-01", "2023-01-01")
-    silver = mart.silver("attributes")
-    mart.write("silver", "attributes", written(silver.unionAll(silver.limit(1)), "doubled"), [])
-    with pytest.raises(checks.CheckFailed, match="silver attributes: 1 repeated"):
+    assert mart.coverage == mart.feature_store().agg(
+        F.sum("has_clickstream").alias("rows_with_clickstream"),
+        F.sum("has_full_clickstream_3m_history").alias("rows_with_full_3m_history"),
+    ).first().asDict()
+    silver = mart.silver("financials")
+    mart.write("silver", "financials", written(silver.unionAll(silver.limit(1)), "doubled"), [])
+    with pytest.raises(checks.CheckFailed, match="row counts differ"):
         build_feature_store(mart, months_between("2023-01-01", "2023-01-01"))
 
 

@@ -10,10 +10,12 @@ from .numbers import (
     flag_below,
     keep_at_most,
     keep_between,
+    only_if,
     parse_number,
     parse_whole,
     safe_ratio,
     strict_int,
+    typed,
     yes_no_flag,
 )
 from .text import clear_tokens, is_missing_text, list_length, months_of_duration, normal_key
@@ -30,10 +32,12 @@ __all__ = [
     "month_number",
     "months_of_duration",
     "normal_key",
+    "only_if",
     "parse_number",
     "parse_whole",
     "safe_ratio",
     "strict_int",
     "to_day",
+    "typed",
     "yes_no_flag",
 ]

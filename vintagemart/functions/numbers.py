@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
+from pyspark.sql.types import DataType, IntegerType
 
 
 def parse_number(text: Column) -> Column:
@@ -20,6 +21,21 @@ def parse_whole(text: Column) -> Column:
     return parse_number(text).try_cast("int")
 
 
+def typed(value: Column, kind: DataType) -> Column:
+    """A value in a declared type, NULL if it does not fit; ``6.0`` is read as the whole number 6."""
+    if isinstance(kind, IntegerType):
+        value = value.try_cast("double")
+    return value.try_cast(kind)
+
+
+def only_if(holds: Column, message: str, value: Column) -> Column:
+    """The value where the condition holds; the query fails with the message where it does not.
+
+    This enforces an invariant inside a plan that computes its evidence anyway.
+    """
+    return F.when(holds, value).otherwise(F.raise_error(F.lit(message)))
+
+
 def strict_int(text: Column) -> Column:
     """Whole-number text to int; ``3.0`` and any other text become NULL."""
     return F.trim(text).try_cast("int")

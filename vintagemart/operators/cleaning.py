@@ -118,8 +118,7 @@ def consistent_emi(emi: Column, salary: Column, loans: Column) -> Column:
     """
     without_loan = (loans == 0) & (emi > 0)
     whole_above_salary = (emi > 0) & (emi == F.floor(emi)) & (emi > salary)
-    contradictions = [emi < 0, without_loan, whole_above_salary]
-    refuted = F.greatest(*[F.coalesce(c, F.lit(False)) for c in contradictions])
+    refuted = F.coalesce((emi < 0) | without_loan | whole_above_salary, F.lit(False))
     return F.when(~refuted, emi)
 
 

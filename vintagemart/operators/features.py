@@ -19,6 +19,7 @@ RATIOS = {
 }
 
 COVERAGE_FLAGS = ["has_clickstream", "has_full_clickstream_3m_history"]
+COVERAGE_TOTALS = dict(zip(COVERAGE_FLAGS, ["rows_with_clickstream", "rows_with_full_3m_history"]))
 DERIVED_FINANCIALS = [*RATIOS, "income_after_emi"]
 ENGINEERED = [
     "age_under_18_flag", "emi_to_salary_ratio", "debt_to_annual_income_ratio",
@@ -93,7 +94,4 @@ def feature_store(attributes: DataFrame, financials: DataFrame, clickstream: Dat
 
 def coverage_totals(store: DataFrame) -> DataFrame:
     """Rows with clickstream and with full history over the whole table."""
-    return store.agg(
-        F.sum("has_clickstream").alias("rows_with_clickstream"),
-        F.sum("has_full_clickstream_3m_history").alias("rows_with_full_3m_history"),
-    )
+    return store.agg(*[F.sum(flag).alias(name) for flag, name in COVERAGE_TOTALS.items()])

@@ -37,16 +37,12 @@ def labels_for_definitions(silver: DataFrame, definitions: Sequence[tuple[int, i
     """
     months = sorted({month for _, month in definitions})
     observed = silver.filter(F.col("mob").isin(months))
-    if len(definitions) == 1:
-        (days, month), = definitions
-        chosen = observed.select("*", F.lit(days).alias("d"), F.lit(label_tag(days, month)).alias("label_def"))
-    else:
-        table = F.array(*[
-            F.struct(F.lit(d).alias("d"), F.lit(m).alias("m"), F.lit(label_tag(d, m)).alias("label_def"))
-            for d, m in definitions
-        ])
-        mine = F.filter(table, lambda definition: definition["m"] == F.col("mob"))
-        chosen = observed.select("*", F.inline(mine)).drop("m")
+    # What a month is observed for: a literal list, picked by the month.
+    mine = F.lit(None)
+    for m in months:
+        listed = [F.struct(F.lit(d).alias("d"), F.lit(label_tag(d, m)).alias("label_def")) for d, other in definitions if other == m]
+        mine = F.when(F.col("mob") == m, F.array(*listed)).otherwise(mine)
+    chosen = observed.select("*", F.inline(mine))
     label = F.when(F.col("dpd") >= F.col("d"), 1).otherwise(0)
     return chosen.select("loan_id", "Customer_ID", label.alias("label"), "label_def", "snapshot_date")
 

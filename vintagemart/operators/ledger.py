@@ -3,22 +3,22 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import NumericType
+from pyspark.sql.types import IntegerType, NumericType
 
-from ..functions import ceil_int, first_missed_on
+from ..functions import ceil_int, first_missed_on, typed
 from ..schemas import LEDGER
 
 
 def enforce_types(df: DataFrame) -> DataFrame:
     """The ledger columns in their declared types; unreadable values become NULL."""
-    return df.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in LEDGER])
+    return df.select(*[typed(F.col(f.name), f.dataType).alias(f.name) for f in LEDGER])
 
 
 def with_missed_installments(df: DataFrame) -> DataFrame:
     """Month on book, and arrears counted in instalments rounded up (NULL if not defined)."""
     return df.select(
         "*",
-        F.col("installment_num").try_cast("int").alias("mob"),
+        typed(F.col("installment_num"), IntegerType()).alias("mob"),
         ceil_int(F.col("overdue_amt"), F.col("due_amt")).alias("installments_missed"),
     )
 

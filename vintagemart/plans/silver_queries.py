@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import IntegerType
 
 from ..functions import list_length, months_of_duration, normal_key, to_day
 from ..operators import cleaning, ledger
@@ -16,7 +17,9 @@ CUSTOMER = Rule("Customer_ID", "Customer_ID", as_is)
 
 
 def _all_text(df: DataFrame) -> DataFrame:
-    return df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
+    """Every column as text, whole numbers with a decimal point."""
+    whole = {f.name for f in df.schema if isinstance(f.dataType, IntegerType)}
+    return df.select(*[(F.col(c).cast("double") if c in whole else F.col(c)).cast("string").alias(c) for c in df.columns])
 
 
 @query("enforce_schema", "select * from fx_loan_daily")

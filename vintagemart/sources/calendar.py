@@ -8,6 +8,8 @@ from datetime import date, datetime
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StringType
 
+from ..functions import to_day
+
 # Fixed value: months in a trailing window, the current one included.
 TRAILING_MONTHS = 3
 
@@ -50,9 +52,13 @@ def spine_of(df: DataFrame, column: str = "snapshot_date") -> DataFrame:
 def slice_months(df: DataFrame, months: Iterable[str | date], column: str = "snapshot_date") -> DataFrame:
     """Rows of the given months.
 
-    A text column is compared as raw text, a date column as dates.  The months
-    are literals, so the filter prunes partitions or reaches the reader.
+    Text is read as a date, blanks around it ignored.  The months are literals, so
+    the filter prunes partitions or, on a date column, reaches the reader.
     """
-    days = [parse_day(m) for m in months]
+    return df.filter(day_of(df, column).isin([parse_day(m) for m in months]))
+
+
+def day_of(df: DataFrame, column: str = "snapshot_date") -> Column:
+    """A column of dates, or of text, as a date."""
     is_text = isinstance(df.schema[column].dataType, StringType)
-    return df.filter(F.col(column).isin([d.isoformat() if is_text else d for d in days]))
+    return to_day(F.col(column)) if is_text else F.col(column)

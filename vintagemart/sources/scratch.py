@@ -1,27 +1,23 @@
 """Where intermediate tables go, and how a lineage is cut.
 
-A cluster names its shared folder in ``spark.checkpoint.dir``; tables written
-there outlive any executor.  A folder of this machine is used only by a local
-session that names none, as in tests.
+They go to the folder named by ``spark.checkpoint.dir``, which all executors
+share, or below the warehouse where that is unset.  Tables written there outlive
+any executor; whoever has one written may take it away again with ``discard``.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 SHARED_DIR_CONF = "spark.checkpoint.dir"
+WAREHOUSE_CONF = "spark.sql.warehouse.dir"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path for one table; nothing is created there."""
-    root = spark.conf.get(SHARED_DIR_CONF, None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError(f"set {SHARED_DIR_CONF} to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="vintagemart-")
+    root = spark.conf.get(SHARED_DIR_CONF, None) or f"{spark.conf.get(WAREHOUSE_CONF).rstrip('/')}/scratch"
     return f"{root.rstrip('/')}/vintagemart/{name}-{uuid.uuid4().hex}"
 
 
@@ -31,3 +27,9 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a table on the file system its path names, if it is there."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

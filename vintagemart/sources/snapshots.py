@@ -8,14 +8,16 @@ few months touches only their partitions.
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from datetime import date
 from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from .calendar import parse_day, slice_months
+from ..functions import only_if, typed
+from .calendar import day_of, parse_day, slice_months
+from .scratch import discard
 
 PARTITION = "snapshot_date"
 FORMATS = ("parquet", "csv")
@@ -41,10 +43,11 @@ def read_feed(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """A feed's CSV with a header, columns taken by name and given the declared types.
 
     Only the header line is read beforehand; the file is scanned once, by the
-    query itself.  Values that do not fit their type become NULL.
+    query itself.  Values that do not fit their type become NULL; whole numbers
+    may be written with a decimal point.
     """
     text = spark.read.options(**CSV_OPTIONS, inferSchema=False).csv(path)
-    return text.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema])
+    return text.select(*[typed(F.col(f.name), f.dataType).alias(f.name) for f in schema])
 
 
 def write_feed(df: DataFrame, path: str) -> None:
@@ -64,6 +67,8 @@ class Written:
 
     rows: int
     months: list[date]
+    # Months asked for that had no rows; their older snapshots stay unless told otherwise.
+    emptied: list[date] = field(default_factory=list)
 
 
 def write_snapshots(
@@ -73,6 +78,7 @@ def write_snapshots(
     *,
     fmt: str = "parquet",
     gather: bool = False,
+    drop_emptied: bool = False,
 ) -> Written:
     """Replace the snapshots the rows belong to; other months stay as they are.
 
@@ -81,10 +87,13 @@ def write_snapshots(
     several tasks and small ones share one, so files have an even size.  Leave it
     off for rows that come from a table already laid out by month.
 
-    ``months`` are the months this run is about.  One of them that has no rows any
-    more also loses its older snapshot, so a re-run leaves no stale rows behind.
+    ``months`` are the months this run is about.  Those without rows are reported;
+    an older snapshot of theirs stays, unless ``drop_emptied`` asks for its removal.
+    A month that is not a date fails the write before it changes anything.
     """
     spark = df.sparkSession
+    day, month = day_of(df, PARTITION), F.col(PARTITION)
+    df = df.withColumn(PARTITION, only_if(month.isNull() | day.isNotNull(), "a snapshot month is not a date", month))
     if gather:
         df = df.hint("rebalance", F.col(PARTITION))
     # Observed in the stage that writes, where a task that is run again counts once.
@@ -92,16 +101,16 @@ def write_snapshots(
     counted = df.observe(
         seen,
         F.count(F.lit(1)).alias("rows"),
-        F.collect_set(F.col(PARTITION).cast("string")).alias("months"),
+        F.collect_set(day.cast("string")).alias("months"),
     )
     writer = counted.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(PARTITION).format(fmt).options(**_options(fmt)).save(path)
-    written = Written(seen.get["rows"], sorted(parse_day(m) for m in seen.get["months"]))
-    emptied = {parse_day(m) for m in months} - set(written.months)
-    for month in emptied & set(snapshots_present(spark, path)):
-        folder, files = _folder(spark, f"{path}/{PARTITION}={month.isoformat()}")
-        files.delete(folder, True)
-    return written
+    found = sorted(parse_day(m) for m in seen.get["months"])
+    emptied = sorted({parse_day(m) for m in months} - set(found))
+    if drop_emptied:
+        for gone in set(emptied) & set(snapshots_present(spark, path)):
+            discard(spark, f"{path}/{PARTITION}={gone.isoformat()}")
+    return Written(seen.get["rows"], found, emptied)
 
 
 def _folder(spark: SparkSession, path: str):
