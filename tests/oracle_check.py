@@ -27,6 +27,21 @@ def _rows(names, rows):
     return sorted((tuple(repr(row[i]) for i in order) for row in rows))
 
 
+def is_ordered(df) -> bool:
+    """Whether the query itself puts its rows in order."""
+    return df._jdf.queryExecution().analyzed().toString().lstrip().startswith(("Sort", "GlobalLimit"))
+
+
+def out_of_order(df, db, sql: str) -> list[str]:
+    """For a query that orders its rows: where its order is not the oracle's."""
+    result = db.sql(sql)
+    names = sorted(df.columns)
+    ours = [tuple(repr(r[n]) for n in names) for r in df.collect()]
+    at = [list(result.columns).index(n) for n in names]
+    theirs = [tuple(repr(r[i]) for i in at) for r in result.fetchall()]
+    return [f"row {i}: {a} against {b}" for i, (a, b) in enumerate(zip(ours, theirs)) if a != b][:3]
+
+
 def differences(df, db, sql: str) -> list[str]:
     """What differs between the two results; nothing if they are equal."""
     result = db.sql(sql)

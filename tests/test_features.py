@@ -62,6 +62,26 @@ def test_repeated_key_fails_the_query(spark, build):
         build(df).collect()
 
 
+@pytest.mark.parametrize("months", [1, 2])
+def test_repeated_cohort_key_is_told_from_a_repeated_clickstream_key(spark, months):
+    df = clicks(spark, [("a", date(2024, m + 1, 1), 1) for m in range(months)])
+    keys = df.select(*FEATURE_KEY)
+    with pytest.raises(Exception, match="cohort: repeated"):
+        trailing.trailing_for(keys.unionAll(keys), df).collect()
+
+
+def test_plans_of_the_trailing_means(spark, small, x):
+    window = trailing.trailing_window(clicks(spark, [("a", date(2024, 1, 1), 1)]))._jdf.queryExecution().executedPlan().toString()
+    assert window.count("Exchange") == 1
+    store = x.feature_store._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in store and "transform(" not in store
+
+
+def test_no_event_is_left_out(spark, small, x):
+    events = x.table("events")
+    assert x.feed("clickstream").count() == events.selectExpr("user_id", "extract(day from ts)").distinct().count()
+
+
 def test_store_equals_plain_joins(x):
     plain = features.anchor_left_join(x.gold_attributes, x.gold_financials, x.gold_clicks)
     assert same(x.feature_store, features.fill_coverage(plain))

@@ -30,18 +30,16 @@ def disc(values, p):
 
 
 def test_quantiles_are_exact(spark, values):
-    # One range per task even for this little data, so that values are stitched across ranges.
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    try:
-        counted = ordered.count_values(long(spark, values))
-    finally:
-        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
-    assert counted.select("range_no").distinct().count() > 3
-    probabilities = {"a": 0.01, "b": 0.25, "c": 0.5, "d": 0.95, "e": 0.99}
-    got = {r["column"]: r for r in ordered.quantiles(counted, probabilities).collect()}
     for column, vs in values.items():
-        assert [got[column][n] for n in probabilities] == [disc(vs, p) for p in probabilities.values()]
-    gaps = {(r["column"], r["value"]): r.gap for r in ordered.value_gaps(counted).collect()}
+        df = spark.createDataFrame([(v,) for v in vs], "v double").repartition(5)
+        got = profiling.value_spread(df, ["v"], {"a": 0.01, "b": 0.25, "c": 0.5, "d": 0.95, "e": 0.99}).first()
+        assert [got[n] for n in "abcde"] == [disc(vs, p) for p in (0.01, 0.25, 0.5, 0.95, 0.99)], column
+
+
+@pytest.mark.parametrize("ranges", [2, 7, ordered.RANGES])
+def test_gaps_are_stitched_over_ranges(spark, values, ranges):
+    counted = ordered.count_values(long(spark, values))
+    gaps = {(r["column"], r["value"]): r.gap for r in ordered.value_gaps(counted, ranges).collect()}
     for column, vs in values.items():
         distinct = sorted({v for v in vs if v is not None})
         assert gaps[(column, distinct[0])] is None
@@ -49,6 +47,34 @@ def test_quantiles_are_exact(spark, values):
             assert gaps[(column, high)] == high - low
 
 
+def jobs_run(spark, build):
+    """Spark jobs that building a plan starts."""
+    group = f"plan-{id(build)}"
+    spark.sparkContext.setJobGroup(group, "")
+    df = build()
+    found = list(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return df, found
+
+
+def test_building_a_profile_runs_nothing_and_scans_once(spark, small):
+    from vintagemart.plans.inputs import Inputs
+
+    x = Inputs(spark, small)
+    builds = {
+        "spread": lambda: profiling.numeric_distribution(x.typed_financials, ["Annual_Income", "Num_of_Loan"]),
+        "derived": lambda: profiling.derived_summary(x.gold_financials, ["income_after_emi"]),
+        "correlation": lambda: association.correlation_matrix(x.silver_clicks, ["fe_1", "fe_2", "fe_4"]),
+    }
+    x.typed_financials, x.gold_financials, x.silver_clicks
+    for name, build in builds.items():
+        df, jobs = jobs_run(spark, build)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert jobs == [], name
+        assert plan.count("FileScan") == 1, name
+        assert plan.count("MapInArrow") <= 1, name
+
+
 def test_correlation_equals_pandas(spark):
     rng = random.Random(3)
     pdf = pd.DataFrame({"a": [rng.randrange(-50, 50) for _ in range(400)]})
@@ -122,3 +148,12 @@ def test_text_profile(spark):
     df = spark.createDataFrame([("a", None), ("a", None), (None, None)], "x string, y string")
     got = {r["column"]: (r.null_rows, r.distinct_values) for r in profiling.string_profile(df, ["x", "y"]).collect()}
     assert got == {"x": (1, 1), "y": (3, 0)}
+
+
+def test_a_lost_month_shows(spark):
+    from datetime import date
+
+    raw = spark.createDataFrame([(date(2024, 1, 1),), (date(2024, 2, 1),)], "snapshot_date date")
+    clean = spark.createDataFrame([(date(2024, 1, 1),), (None,)], "snapshot_date date")
+    got = {r.snapshot_date: (r.raw_rows, r.clean_rows, r.preserved) for r in profiling.row_preservation(raw, clean, "t").collect()}
+    assert got == {date(2024, 1, 1): (1, 1, 1), date(2024, 2, 1): (1, 0, 0), None: (0, 1, 0)}

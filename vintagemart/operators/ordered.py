@@ -1,24 +1,24 @@
-"""Exact order statistics over counted values, without a global window.
+"""Distances between neighbouring values, without a global window.
 
-Values are first counted per group, which combines on the map side and turns
-any hot value into one row.  The distinct values are then range-partitioned on
-(group, value), so even a single group with very many values is spread over
-tasks, and written with the number of their range.  What crosses a range
-boundary (rows before it, last value before it) is one row per range and
-group, so it is small whatever the data, and is joined back by broadcast.
+Values are first counted per group, which combines on the map side and turns any
+hot value into one row.  The distinct values of a group are then cut into ranges
+at explicit bounds, which are quantiles of those values, so even a single group
+with very many values is spread over tasks.  What crosses a bound (the last value
+before it) is one row per range and group, joined back by broadcast.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
-
-from ..sources.scratch import written
+from pyspark.sql import DataFrame, Window, functions as F
 
 GROUP = "column"
 VALUE = "value"
 
+# Ranges the distinct values of a group are cut into; results do not depend on it.
+RANGES = 64
+
 
 def unpivot(df: DataFrame, columns: Sequence[str], cast: str | None = None) -> DataFrame:
     """(column, value) rows of several columns, cast to a common type if one is given."""
@@ -30,61 +30,24 @@ def unpivot(df: DataFrame, columns: Sequence[str], cast: str | None = None) -> D
 
 
 def count_values(long: DataFrame) -> DataFrame:
-    """Distinct non-NULL values per group with their number of rows, numbered by range."""
-    counts = long.filter(F.col(VALUE).isNotNull()).groupBy(GROUP, VALUE).agg(F.count(F.lit(1)).alias("n"))
-    ranged = counts.repartitionByRange(GROUP, VALUE).select("*", F.spark_partition_id().alias("range_no"))
-    return written(ranged, "counted-values")
-
-
-def _ranges(counted: DataFrame) -> DataFrame:
-    """One row per group and range: rows in earlier ranges, rows in the group, last value before."""
-    totals = counted.groupBy(GROUP, "range_no").agg(F.sum("n").alias("rows"), F.max(VALUE).alias("last"))
-    in_order = Window.partitionBy(GROUP).orderBy("range_no")
-    before = in_order.rowsBetween(Window.unboundedPreceding, -1)
-    return totals.select(
-        GROUP,
-        "range_no",
-        F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("rows_before"),
-        F.sum("rows").over(Window.partitionBy(GROUP)).alias("group_rows"),
-        F.lag("last").over(in_order).alias("last_before"),
-    )
-
+    """Distinct non-NULL values per group with their number of rows."""
+    return long.filter(F.col(VALUE).isNotNull()).groupBy(GROUP, VALUE).agg(F.count(F.lit(1)).alias("n"))
 
-def _stitched(counted: DataFrame) -> DataFrame:
-    return counted.join(F.broadcast(_ranges(counted)), [GROUP, "range_no"])
 
-
-def value_gaps(counted: DataFrame) -> DataFrame:
+def value_gaps(counted: DataFrame, ranges: int = RANGES) -> DataFrame:
     """Each distinct value with its count, the next smaller value, and the distance to it."""
+    shares = [i / ranges for i in range(1, ranges)]
+    bounds = counted.groupBy(GROUP).agg(F.percentile_approx(VALUE, shares).alias("bounds"))
+    # One row per group.
+    ranged = counted.join(F.broadcast(bounds), GROUP).select(
+        GROUP, VALUE, "n", F.size(F.filter("bounds", lambda b: b < F.col(VALUE))).alias("range_no")
+    )
+    last = ranged.groupBy(GROUP, "range_no").agg(F.max(VALUE).alias("last"))
+    before = F.lag("last").over(Window.partitionBy(GROUP).orderBy("range_no"))
+    # One row per group and range.
+    stitches = F.broadcast(last.select(GROUP, "range_no", before.alias("last_before")))
     in_range = Window.partitionBy(GROUP, "range_no").orderBy(VALUE)
     previous = F.coalesce(F.lag(VALUE).over(in_range), F.col("last_before"))
-    return _stitched(counted).select(
+    return ranged.join(stitches, [GROUP, "range_no"]).select(
         GROUP, VALUE, "n", previous.alias("previous_value")
     ).withColumn("gap", F.col(VALUE) - F.col("previous_value"))
-
-
-def quantiles(counted: DataFrame, probabilities: Mapping[str, float]) -> DataFrame:
-    """Exact discrete quantiles per group, one named column each.
-
-    The quantile at p is the smallest value whose cumulated count reaches p of the rows.
-    """
-    in_range = (
-        Window.partitionBy(GROUP, "range_no")
-        .orderBy(VALUE)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    reached = _stitched(counted).select(
-        GROUP,
-        VALUE,
-        "group_rows",
-        (F.col("rows_before") + F.sum("n").over(in_range)).alias("upto"),
-        "n",
-    )
-
-    def lands(p: float) -> Column:
-        rank = F.greatest(F.ceil(F.col("group_rows") * F.lit(p)), F.lit(1))
-        return (rank > F.col("upto") - F.col("n")) & (rank <= F.col("upto"))
-
-    return reached.groupBy(GROUP).agg(
-        *[F.max(F.when(lands(p), F.col(VALUE))).alias(name) for name, p in probabilities.items()]
-    )

@@ -1,7 +1,8 @@
 """Profiles of whole tables, as typed tables of their own.
 
-Counts over many columns are one global aggregate, read back as one row per
-column; nothing is collected and the source is scanned once per profile.
+Counts and quantiles over many columns are one global aggregate over one scan,
+read back as one row per column; nothing is collected.  Where values themselves
+are counted (frequencies, examples, distinct values), that is a second scan.
 """
 
 from __future__ import annotations
@@ -12,10 +13,14 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import is_missing_text
 from ..schemas import FEATURE_KEY
-from .checks import key_sides
-from .ordered import GROUP, VALUE, count_values, quantiles, unpivot
+from .checks import key_sides, row_parity
+from .ordered import GROUP, VALUE, unpivot
 from .rules import RAW_PREFIX
 
+# Quantiles are exact up to so many rows per column, and off by at most that share of the rows
+# beyond; a task holds a summary of about this many values per column.
+ACCURACY = 1_000_000
+
 # The forms numeric text may have.
 NUMBER = r"^-?\d+(\.\d+)?$"
 NUMBER_THEN_UNDERSCORES = r"^-?\d+(\.\d+)?_+$"
@@ -98,18 +103,18 @@ def profile_snapshot_table(df: DataFrame, name: str) -> DataFrame:
     )
 
 
-def row_preservation(raw: DataFrame, clean: DataFrame, name: str) -> DataFrame:
-    """Rows before and after cleaning, and whether none was lost."""
-
-    def tally(df: DataFrame, before: int) -> DataFrame:
-        return df.select(F.lit(before).alias("b"))
+def row_preservation(raw: DataFrame, clean: DataFrame, name: str, by: str = "snapshot_date") -> DataFrame:
+    """Per month, rows of a written table before and after cleaning, and whether none was lost.
 
-    both = tally(raw, 1).unionByName(tally(clean, 0))
-    counts = both.agg(rows_where(F.col("b") == 1).alias("raw_rows"), rows_where(F.col("b") == 0).alias("clean_rows"))
+    Rows whose month became NULL are a month of their own, so they count as lost.
+    """
+    counts = row_parity(raw, clean, by)
     return counts.select(
         F.lit(name).alias("table"),
-        "*",
-        (F.col("raw_rows") == F.col("clean_rows")).cast("int").alias("preserved"),
+        by,
+        F.col("anchor_rows").alias("raw_rows"),
+        F.col("joined_rows").alias("clean_rows"),
+        F.col("matches").alias("preserved"),
     )
 
 
@@ -149,27 +154,22 @@ def malformed_number_examples(df: DataFrame, columns: Sequence[str], examples: i
 
 
 def pattern_classes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Per column: rows in each known malformed form, and in none of the known forms."""
+    """Per column: rows in each known malformed form, and in none of the known forms.
 
-    def matches(c: str, pattern: str) -> Column:
-        return F.trim(c).rlike(pattern)
+    A value is put into one class, by the first form it has, and the classes are counted.
+    """
+    forms = {"number": NUMBER, "trailing_underscore": NUMBER_THEN_UNDERSCORES, "lone_underscore": ONLY_UNDERSCORES, "wrapped_sentinel": WRAPPED}
 
-    def unexpected(c: str) -> Column:
-        known = F.lit(False)
-        for pattern in (NUMBER, NUMBER_THEN_UNDERSCORES, ONLY_UNDERSCORES, WRAPPED):
-            known = known | matches(c, pattern)
-        return ~known
+    def form(c: str) -> Column:
+        text = F.trim(c)
+        found = F.when(text.isNotNull(), "unexpected_pattern")
+        for name, pattern in reversed(forms.items()):
+            found = F.when(text.rlike(pattern), name).otherwise(found)
+        return found.alias(c)
 
-    return per_column(
-        df,
-        columns,
-        {
-            "trailing_underscore": lambda c: rows_where(matches(c, NUMBER_THEN_UNDERSCORES)),
-            "lone_underscore": lambda c: rows_where(matches(c, ONLY_UNDERSCORES)),
-            "wrapped_sentinel": lambda c: rows_where(matches(c, WRAPPED)),
-            "unexpected_pattern": lambda c: rows_where(unexpected(c)),
-        },
-    )
+    classes = [*list(forms)[1:], "unexpected_pattern"]
+    classed = df.select(*[form(c) for c in columns])
+    return per_column(classed, columns, {name: lambda c, name=name: rows_where(F.col(c) == name) for name in classes})
 
 
 def invalid_values(df: DataFrame, column: str, valid: str, marker: str, expected: str) -> DataFrame:
@@ -179,7 +179,6 @@ def invalid_values(df: DataFrame, column: str, valid: str, marker: str, expected
     form expected of such values.
     """
     value = F.col(column)
-    has_marker = value.contains(marker)
     return (
         df.filter(~value.rlike(valid))
         .groupBy(value.alias(VALUE))
@@ -208,9 +207,13 @@ def string_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def value_frequencies(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Rows per value of each column, most frequent first; NULL is a value."""
-    counts = unpivot(df, columns, "string").groupBy(GROUP, VALUE).agg(F.count(F.lit(1)).alias("n_rows"))
-    return counts.orderBy(GROUP, F.desc("n_rows"), VALUE)
+    """Rows per value of each column; NULL is a value."""
+    return unpivot(df, columns, "string").groupBy(GROUP, VALUE).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def most_frequent_first(counts: DataFrame, *names: str) -> DataFrame:
+    """Frequencies in order: by table and column, then the most frequent value first."""
+    return counts.orderBy(*names, GROUP, F.desc("n_rows"), VALUE)
 
 
 # Cleaning, checked
@@ -258,16 +261,38 @@ def rows_changed(both: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 # Numbers
 
+def quantiles(value: Column, probabilities: Mapping[str, float], accuracy: int = ACCURACY) -> Column:
+    """Discrete quantiles of a column as one array, in the order of the probabilities."""
+    return F.percentile_approx(value, list(probabilities.values()), accuracy)
+
+
+def per_column_with_quantiles(
+    df: DataFrame,
+    columns: Sequence[str],
+    metrics: Mapping[str, Metric],
+    probabilities: Mapping[str, float],
+    value: Metric = F.col,
+    accuracy: int = ACCURACY,
+) -> DataFrame:
+    """``per_column`` with named quantiles beside the metrics, in the same pass."""
+    shares = {"quantiles": lambda c: quantiles(value(c).cast("double"), probabilities, accuracy)}
+    found = per_column(df, columns, {**metrics, **shares})
+    named = [F.get("quantiles", F.lit(i)).alias(name) for i, name in enumerate(probabilities)]
+    return found.select("*", *named).drop("quantiles")
+
+
 def value_spread(df: DataFrame, columns: Sequence[str], probabilities: Mapping[str, float]) -> DataFrame:
-    """Minimum, the given exact quantiles, maximum and negative rows per column."""
-    counted = count_values(unpivot(df, columns, "double"))
-    extremes = counted.groupBy(GROUP).agg(
-        F.min(VALUE).alias("min"),
-        F.max(VALUE).alias("max"),
-        F.coalesce(F.sum(F.when(F.col(VALUE) < 0, F.col("n"))), F.lit(0)).alias("negative_rows"),
+    """Minimum, the given quantiles, maximum and negative rows per column."""
+    return per_column_with_quantiles(
+        df,
+        columns,
+        {
+            "min": lambda c: F.min(F.col(c).cast("double")),
+            "max": lambda c: F.max(F.col(c).cast("double")),
+            "negative_rows": lambda c: rows_where(F.col(c) < 0),
+        },
+        probabilities,
     )
-    # One row per column on either side.
-    return extremes.join(F.broadcast(quantiles(counted, probabilities)), GROUP)
 
 
 def numeric_distribution(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -276,28 +301,28 @@ def numeric_distribution(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def parse_profile(raw: DataFrame, columns: Sequence[str]) -> DataFrame:
     """How text columns read as numbers: unreadable rows, distribution, signs, distinct values."""
-    text = F.trim(VALUE)
-    number = text.try_cast("double")
-    unreadable = per_column(
-        raw,
-        columns,
-        {"non_numeric_count": lambda c: rows_where((F.trim(c) != "") & F.trim(c).try_cast("double").isNull())},
-    )
-    counted = count_values(unpivot(raw, columns).select(GROUP, number.alias(VALUE)))
 
-    def rows_with(condition: Column) -> Column:
-        return F.coalesce(F.sum(F.when(condition, F.col("n"))), F.lit(0))
+    def number(c: str) -> Column:
+        return F.trim(c).try_cast("double")
 
-    shape = counted.groupBy(GROUP).agg(
-        F.min(VALUE).alias("min"),
-        F.max(VALUE).alias("max"),
-        rows_with(F.col(VALUE) < 0).alias("negative_count"),
-        rows_with(F.col(VALUE) == 0).alias("zero_count"),
-        F.count(F.lit(1)).alias("n_unique"),
+    shape = per_column_with_quantiles(
+        raw,
+        columns,
+        {
+            "non_numeric_count": lambda c: rows_where((F.trim(c) != "") & number(c).isNull()),
+            "min": lambda c: F.min(number(c)),
+            "max": lambda c: F.max(number(c)),
+            "negative_count": lambda c: rows_where(number(c) < 0),
+            "zero_count": lambda c: rows_where(number(c) == 0),
+        },
+        {"p01": 0.01, "median": 0.5, "p99": 0.99},
+        number,
     )
-    ranks = quantiles(counted, {"p01": 0.01, "median": 0.5, "p99": 0.99})
-    # One row per column on every side.
-    return unreadable.join(F.broadcast(shape), GROUP, "left").join(F.broadcast(ranks), GROUP, "left")
+    # Distinct values are counted by value, so no task holds a set of them.
+    values = unpivot(raw, columns).select(GROUP, F.trim(VALUE).try_cast("double").alias(VALUE)).distinct()
+    distinct = values.groupBy(GROUP).agg(F.count(VALUE).alias("n_unique"))
+    # One row per column on either side.
+    return shape.join(F.broadcast(distinct), GROUP, "left").withColumn("n_unique", F.coalesce("n_unique", F.lit(0)))
 
 
 def derived_summary(df: DataFrame, columns: Sequence[str], digits: int = 6) -> DataFrame:
@@ -305,7 +330,7 @@ def derived_summary(df: DataFrame, columns: Sequence[str], digits: int = 6) -> D
 
     Mean and deviation are rounded, as their last digits depend on the order of addition.
     """
-    moments = per_column(
+    return per_column_with_quantiles(
         df,
         columns,
         {
@@ -315,11 +340,8 @@ def derived_summary(df: DataFrame, columns: Sequence[str], digits: int = 6) -> D
             "min": lambda c: F.min(c),
             "max": lambda c: F.max(c),
         },
+        {"p25": 0.25, "p50": 0.5, "p75": 0.75},
     )
-    quarters = quantiles(
-        count_values(unpivot(df, columns, "double")), {"p25": 0.25, "p50": 0.5, "p75": 0.75}
-    )
-    return moments.join(F.broadcast(quarters), GROUP, "left")
 
 
 # Coverage

@@ -8,110 +8,83 @@ Two forms give the same numbers:
   months it looks back on and met with the table by an equi-join.  Assembling
   the store uses this form, because the cohort needs few of the rows.
 
-Both first bring the table to one row per customer and month and fail on a
-repeated key.  So no window group is longer than the calendar, and a customer
-that holds a large share of a broken table fails instead of filling one task.
+The table has one row per customer and month.  That is proved where it is written
+(``checks.require_unique``); both forms also fail on a repeated key, without an
+exchange of their own: the window by the number of its rows in a month, the
+equi-join by the number of rows a key met.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import add
+from pyspark.sql import DataFrame, Window, functions as F
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
-
-from ..functions import month_number
+from ..functions import month_number, only_if
 from ..schemas import CLICK_FEATURES, CLICK_MEANS, FEATURE_KEY
-from .checks import only_if
-
-# Fixed value: months in the trailing mean, the current one included.
-HISTORY_MONTHS = 3
+from ..sources.calendar import TRAILING_MONTHS
 
 RAW_MEANS = [f"{mean}_raw" for mean in CLICK_MEANS]
 REPEATED = "clickstream: repeated (customer_id, snapshot_date) key"
-
-
-def month_grain(clicks: DataFrame) -> DataFrame:
-    """One row per customer and month; fails on a key with more rows."""
-    unique = F.count(F.lit(1)) == 1
-    return clicks.groupBy(*FEATURE_KEY).agg(
-        only_if(unique, REPEATED, F.lit(1)).alias("has_clickstream"),
-        *[F.max(name).alias(name) for name in CLICK_FEATURES],
-    )
+REPEATED_KEYS = "cohort: repeated (customer_id, snapshot_date) key"
 
 
 def trailing_window(clicks: DataFrame) -> DataFrame:
-    """Every row with its months of history and its ungated trailing means."""
-    monthly = month_grain(clicks).withColumn("month_number", month_number(F.col("snapshot_date")))
-    span = (
-        Window.partitionBy("customer_id")
-        .orderBy("month_number")
-        .rangeBetween(1 - HISTORY_MONTHS, Window.currentRow)
-    )
+    """Every row with its months of history and its ungated trailing means.
+
+    One exchange, by customer.  A window group is as long as a customer's history;
+    a repeated key makes the frame of its own month longer than one row and fails.
+    """
+    monthly = clicks.withColumn("month_number", month_number(F.col("snapshot_date")))
+    months = Window.partitionBy("customer_id").orderBy("month_number")
+    span = months.rangeBetween(1 - TRAILING_MONTHS, Window.currentRow)
+    unique = F.count(F.lit(1)).over(months.rangeBetween(Window.currentRow, Window.currentRow)) == 1
     return monthly.select(
         *FEATURE_KEY,
-        "has_clickstream",
+        only_if(unique, REPEATED, F.lit(1)).alias("has_clickstream"),
         *CLICK_FEATURES,
         F.count(F.lit(1)).over(span).alias("history_months"),
         *[F.avg(name).over(span).alias(raw) for name, raw in zip(CLICK_FEATURES, RAW_MEANS)],
     )
 
 
-def _mean(values: list[Column]) -> Column:
-    """Mean of the values that are known; NULL if none is."""
-    known = reduce(add, [v.isNotNull().cast("int") for v in values])
-    total = reduce(add, [F.coalesce(v.cast("double"), F.lit(0.0)) for v in values])
-    return F.try_divide(total, known)
-
-
 def trailing_for(keys: DataFrame, clicks: DataFrame) -> DataFrame:
     """The same columns for the given keys that have a current row.
 
-    The table crosses the network once, by (customer, month), with its features
-    packed into one array; the result comes out partitioned by the full key, ready
-    to be joined to the cohort.  The aggregate only puts the arrays of a key's
-    months side by side, and the means are taken over the arrays.  Sixty buffers or
-    sixty lookups, one set per feature, would make methods too long to be compiled.
+    The table crosses the network once, by (customer, month).  The aggregate is a
+    hash aggregate over flat columns, combined before it is shuffled, and its
+    result comes out partitioned by the full key, ready to be joined to the cohort.
     """
-    backs = range(HISTORY_MONTHS)
-    lookback = keys.select(
-        *FEATURE_KEY, F.explode(F.array(*[F.lit(back) for back in backs])).alias("back")
+    backs = range(TRAILING_MONTHS)
+    # Cohort rows of a key are one row here, with their number, so that either side can be told apart.
+    counted = keys.groupBy(*FEATURE_KEY).agg(F.count(F.lit(1)).alias("copies"))
+    lookback = counted.select(
+        *FEATURE_KEY, "copies", F.explode(F.array(*[F.lit(back) for back in backs])).alias("back")
     ).withColumn("month", F.add_months("snapshot_date", -F.col("back")))
-    history = clicks.select(
-        "customer_id", F.col("snapshot_date").alias("month"), F.array(*CLICK_FEATURES).alias("features")
+    history = clicks.select("customer_id", F.col("snapshot_date").alias("month"), *CLICK_FEATURES)
+    now = F.col("back") == 0
+    met = [F.count_if(F.col("back") == back).alias(f"met_{back}") for back in backs]
+    found = lookback.join(history, ["customer_id", "month"]).groupBy(*FEATURE_KEY).agg(
+        F.max("copies").alias("copies"),
+        *met,
+        *[F.max(F.when(now, F.col(name))).alias(name) for name in CLICK_FEATURES],
+        *[F.avg(name).alias(raw) for name, raw in zip(CLICK_FEATURES, RAW_MEANS)],
     )
-    months = [f"month_{back}" for back in backs]
-    side_by_side = lookback.join(history, ["customer_id", "month"]).groupBy(*FEATURE_KEY).agg(
-        F.count(F.lit(1)).alias("met_rows"),
-        *[F.max(F.when(F.col("back") == back, F.col("features"))).alias(m) for back, m in zip(backs, months)],
-    )
-    present = reduce(add, [F.col(m).isNotNull().cast("bigint") for m in months])
-    unique = only_if(F.col("met_rows") == present, REPEATED, F.col(months[0]).isNotNull().cast("int"))
-    # An absent month is an empty array, which the zip fills up with NULLs.
-    absent = F.array().cast("array<int>")
-    means = F.transform(F.arrays_zip(*months), lambda values: _mean([values[m] for m in months]))
-    rows = (
-        side_by_side.select(
-            *FEATURE_KEY,
-            unique.alias("has_clickstream"),
-            present.alias("history_months"),
-            *[F.coalesce(m, absent).alias(m) for m in months],
-        )
-        .select("*", means.alias("means"))
-        .select(
-            *FEATURE_KEY,
-            "has_clickstream",
-            *[F.get(months[0], F.lit(i)).alias(name) for i, name in enumerate(CLICK_FEATURES)],
-            "history_months",
-            *[F.get("means", F.lit(i)).alias(raw) for i, raw in enumerate(RAW_MEANS)],
-        )
-    )
-    return rows.filter("has_clickstream = 1")
+    most = F.greatest(*[F.col(f"met_{back}") for back in backs])
+    present = sum((F.col(f"met_{back}") > 0).cast("bigint") for back in backs)
+    found = found.withColumn("most", most)
+    current = (F.col("met_0") > 0).cast("int")
+    checked = only_if(F.col("copies") == 1, REPEATED_KEYS, only_if(F.col("most") == 1, REPEATED, current))
+    return found.select(
+        *FEATURE_KEY,
+        checked.alias("has_clickstream"),
+        *CLICK_FEATURES,
+        present.alias("history_months"),
+        *RAW_MEANS,
+    ).filter("has_clickstream = 1")
 
 
 def gate_full_history(trailing: DataFrame) -> DataFrame:
     """Means only where all months are present; a flag says which rows those are."""
-    full = F.col("history_months") == HISTORY_MONTHS
+    full = F.col("history_months") == TRAILING_MONTHS
     return trailing.select(
         *FEATURE_KEY,
         "has_clickstream",

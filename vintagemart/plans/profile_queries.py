@@ -8,16 +8,20 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..operators import association, audits, checks, cleaning, features, ordered, profiling
 from ..operators.rules import Rule, apply_rules
-from ..schemas import CLICK_FEATURES, FEATURE_KEY
+from ..schemas import CLICK_FEATURES, FEATURE_KEY, FEEDS
+from ..sources.calendar import day_of
+from ..sources.scratch import scratch_path
+from ..sources.snapshots import snapshots_present
 from . import oracle as O
+from .backfill import Mart, clean
 from .inputs import Inputs
 from .registry import query
 
 RAW_FEEDS = ["attributes", "financials", "clickstream"]
 RAW_KEY = ["Customer_ID", "snapshot_date"]
 LINE_KEY = ["l_orderkey", "l_linenumber"]
-LINE_VALUES = ["l_returnflag", "l_linestatus", "l_quantity"]
 
+# The columns each profile is about.
 COUNTS = [*O.INTS, "Changed_Credit_Limit"]
 MONEY = ["Annual_Income", "Monthly_Inhand_Salary", "Outstanding_Debt", "Total_EMI_per_month",
          "Amount_invested_monthly", "Monthly_Balance"]
@@ -25,12 +29,9 @@ TEXTS = ["Customer_ID", "Type_of_Loan", "Credit_Mix", "Credit_History_Age",
          "Payment_of_Min_Amount", "Payment_Behaviour"]
 CATEGORIES = ["Credit_Mix", "Payment_of_Min_Amount", "Payment_Behaviour"]
 NUMERIC = cleaning.WHOLE_COLUMNS + cleaning.AMOUNT_COLUMNS
-COLUMNS = {
-    "attributes": "Customer_ID Name Age SSN Occupation snapshot_date".split(),
-    "financials": TEXTS + NUMERIC + ["snapshot_date"],
-    "clickstream": ["Customer_ID", *CLICK_FEATURES, "snapshot_date"],
-}
+COLUMNS = {t: FEEDS[t].names for t in RAW_FEEDS}
 
+# The forms numeric text may have, as the oracles spell them.
 NUMBER = r"^-?\d+(\.\d+)?$"
 TRAILING = r"^-?\d+(\.\d+)?_+$"
 
@@ -69,11 +70,11 @@ def profile_partitions(x: Inputs) -> DataFrame:
     "exact_duplicate_rows",
     _each_feed("select (select count(*) from {t}) - (select count(*) from (select distinct * from {t})) as duplicate_rows")
     + " union all select 'lineitem', (select count(*) from lineitem) - "
-    "(select count(*) from (select distinct l_returnflag, l_linestatus, l_quantity from lineitem))",
+    "(select count(*) from (select distinct * from lineitem))",
 )
 def exact_duplicate_rows(x: Inputs) -> DataFrame:
     tables = {t: x.feed(t) for t in RAW_FEEDS}
-    tables["lineitem"] = x.table("lineitem").select(*LINE_VALUES)
+    tables["lineitem"] = x.table("lineitem")
     return _stack({t: profiling.exact_duplicate_rows(df) for t, df in tables.items()})
 
 
@@ -217,15 +218,17 @@ def threshold_counts(x: Inputs) -> DataFrame:
             ("clean financials", "typed_fin", CATEGORIES),
         ]
         for c in columns
-    ),
+    )
+    + ' order by "table", "column", n_rows desc, value nulls first',
 )
 def value_frequencies(x: Inputs) -> DataFrame:
-    return _stack({
+    counts = _stack({
         "raw": profiling.value_frequencies(x.feed("attributes"), ["Occupation"]),
         "clean": profiling.value_frequencies(x.silver_attributes, ["occupation"]),
         "raw financials": profiling.value_frequencies(x.feed("financials"), CATEGORIES),
         "clean financials": profiling.value_frequencies(x.typed_financials, CATEGORIES),
     })
+    return profiling.most_frequent_first(counts, "table")
 
 
 @query(
@@ -497,19 +500,23 @@ def cleaned_income_nulls(x: Inputs) -> DataFrame:
 @query(
     "row_preservation",
     "\nunion all\n".join(
-        f"select '{t}' as \"table\", (select count(*) from fx_{t}) as raw_rows, (select count(*) from silver_{s}) as clean_rows, "
-        f"cast((select count(*) from fx_{t}) = (select count(*) from silver_{s}) as int) as preserved"
+        f"select '{t}' as \"table\", r.snapshot_date, r.n as raw_rows, c.n as clean_rows, cast(r.n = c.n as int) as preserved "
+        f"from (select cast(snapshot_date as date) as snapshot_date, count(*) as n from fx_{t} group by 1) r "
+        f"join (select snapshot_date, count(*) as n from silver_{s} group by 1) c using (snapshot_date)"
         for t, s in [("loan_daily", "loan"), ("attributes", "attributes"), ("financials", "financials"), ("clickstream", "clickstream")]
     ),
 )
 def row_preservation(x: Inputs) -> DataFrame:
-    clean = {
-        "loan_daily": x.silver_loans,
-        "attributes": x.silver_attributes,
-        "financials": x.silver_financials,
-        "clickstream": x.silver_clicks,
-    }
-    return reduce(DataFrame.unionByName, [profiling.row_preservation(x.feed(t), df, t) for t, df in clean.items()])
+    """Every month of every feed, landed and cleaned; both written tables are counted."""
+    mart = Mart(x.spark, scratch_path(x.spark, "mart"))
+    frames = []
+    for t in FEEDS:
+        mart.write("bronze", t, x.feed(t), [], gather=True)
+        clean(mart, t, snapshots_present(x.spark, mart.path("bronze", t)))
+        bronze = mart.bronze(t)
+        landed = bronze.select(day_of(bronze).alias("snapshot_date"))
+        frames.append(profiling.row_preservation(landed, mart.silver(t), t))
+    return reduce(DataFrame.unionByName, frames)
 
 
 @query(
