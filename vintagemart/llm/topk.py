@@ -160,11 +160,12 @@ def top_k(
         "vec_id",
         "vector",
     )
+    # Rows with one id are queries of their own; numbered before they are sent to every shard.
     copy = F.row_number().over(Window.partitionBy("vec_id").orderBy("vector"))
-    asked = queries.select(
+    asked = queries.withColumn("copy", copy).select(
         F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"),
         F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(query_blocks)).cast("int").alias("block"),
-        copy.alias("copy"),
+        "copy",
         "vec_id",
         "vector",
     )
