@@ -38,12 +38,21 @@ from .text import blocks
 SAMPLE_ROWS = 12_000
 LEXICON_SIZE = 2_000
 
-# A term enters the lexicon if so large a share of the toxic texts, and so many, hold it,
+# A term may enter the lexicon if so large a share of the toxic texts, and so many, hold it,
 # and toxic texts hold it so many times as often as others (as a logarithm).
-LEAST_SHARE, LEAST_TEXTS, LEAST_LOG_RATIO = 0.015, 3, 3.0
+LEAST_SHARE, LEAST_TEXTS, LEAST_LOG_RATIO = 0.004, 3, 3.0
+
+# A term enters if it explains so large a share of the toxic texts beyond what is already in;
+# a clean text that holds it counts as so many toxic ones against it.  A whole word also
+# enters by itself if so large a share of the toxic texts, and hardly another one, holds it.
+LEAST_GAIN, CLEAN_COST = 0.003, 1.0
+PLAIN_SHARE, PLAIN_LOG_RATIO = 0.05, 5.0
+
+# Weight from which more of it says no more about a text, and the unit it is counted in.
+ENOUGH, UNIT = 12.0, 4.0
 
 # Lengths of the beginnings of words that may become a pattern.
-BEGINNINGS = (4, 5, 6)
+BEGINNINGS = (4, 5, 6, 7, 8)
 
 # Fixed threshold of the score.
 TOXIC_FROM = 0.3
@@ -71,9 +80,9 @@ LETTERS = re.compile(r"[^\W\d_]+")
 # Kinds of match: insult or threat, times negated, reported, aimed at somebody.
 MATCHES = list(itertools.product((INSULT, THREAT), (0, 1), (0, 1), (0, 1)))
 
-# What the learned weights of the kinds are pulled towards: a full match counts 1,
+# What the learned weights of the kinds are pulled towards: a plain match counts 3,
 # one that is negated or reported less, one aimed at somebody more.
-PRIOR = np.array([(1.0 - 0.3 * n - 0.3 * r + 0.2 * t) for _, n, r, t in MATCHES])
+PRIOR = 3 * np.array([(1.0 - 0.3 * n - 0.3 * r + 0.2 * t) for _, n, r, t in MATCHES])
 PRIOR_OFFSET = -4.0
 
 
@@ -176,7 +185,7 @@ class Matcher:
                     open_matches.append((kind, negated, reported | quoted, weight))
                 state = NEXT[state, kind]
         close()
-        return np.log1p(out)
+        return np.minimum(out, ENOUGH) / UNIT
 
 
 @dataclass(frozen=True)
@@ -206,7 +215,11 @@ def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def learn_lexicon(sample: DataFrame) -> Lexicon:
-    """Terms of toxic texts from a bounded sample of (text, label); a group of near copies counts once."""
+    """Terms of toxic texts from a bounded sample of (text, label); a group of near copies counts once.
+
+    Of the terms that toxic texts hold far more often, only those enter that explain
+    texts the others do not: the words of a few copied texts explain little.
+    """
     texts = sample.mapInArrow(_terms, "terms array<string>, mark string, label int")
     once = texts.groupBy("mark", "label").agg(F.min("terms").alias("terms")).persist()
     totals = Counter({r.label: r["count"] for r in once.groupBy("label").count().collect()})
@@ -227,15 +240,39 @@ def learn_lexicon(sample: DataFrame) -> Lexicon:
         .limit(LEXICON_SIZE)
         .collect()
     )
-    once.unpersist()
     weight = {r.term: float(r.weight) for r in found}
-    # The shortest beginning that is in the lexicon stands for the longer ones and the whole words.
-    beginnings: dict[str, float] = {}
-    for term in sorted((t[:-1] for t in weight if t.endswith("*")), key=lambda t: (len(t), t)):
-        if not any(term[:n] in beginnings for n in BEGINNINGS):
-            beginnings[term] = weight[term + "*"]
-    words = {t: w for t, w in weight.items() if not t.endswith("*")}
-    return Lexicon(words, beginnings)
+    # Which of these terms each text of the sample holds.
+    held = once.select("label", F.array_intersect("terms", F.lit(sorted(weight)).cast("array<string>")).alias("held"))
+    texts_of: dict[str, set[int]] = {t: set() for t in weight}
+    clean_of = Counter()
+    for i, r in enumerate(held.where(F.size("held") > 0).collect()):
+        for term in r.held:
+            if r.label:
+                texts_of[term].add(i)
+            else:
+                clean_of[term] += 1
+    once.unpersist()
+    chosen = _cover(texts_of, clean_of, max(1, LEAST_GAIN * toxic))
+    chosen += [r.term for r in found if r.a >= PLAIN_SHARE * toxic and r.weight >= PLAIN_LOG_RATIO and not r.term.endswith("*")]
+    return Lexicon(
+        {t: weight[t] for t in chosen if not t.endswith("*")}, {t[:-1]: weight[t] for t in chosen if t.endswith("*")}
+    )
+
+
+def _cover(texts_of: dict[str, set[int]], clean_of: Counter, least: float) -> list[str]:
+    """Terms that together explain the toxic texts, each by what it adds to those before it."""
+    chosen, left = [], {t: set(texts) for t, texts in texts_of.items()}
+    while left:
+        # Of equal gains the one that is not a beginning, then the shorter one.
+        term = max(left, key=lambda t: (len(left[t]) - CLEAN_COST * clean_of[t], not t.endswith("*"), -len(t), t))
+        gain = len(left[term]) - CLEAN_COST * clean_of[term]
+        if gain < least:
+            break
+        chosen.append(term)
+        texts = left.pop(term)
+        for other in left.values():
+            other -= texts
+    return chosen
 
 
 def fit(sample: DataFrame, *, steps: int = 60, ridge: float = 0.02) -> ToxicityModel:
