@@ -67,9 +67,9 @@ class PairIndexBpe:
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        model, normalizer = spec["model"], spec["normalizer"]
-        steps = normalizer["normalizers"]
-        splits = spec["pre_tokenizer"]["pretokenizers"]
+        model = spec["model"]
+        steps = (spec["normalizer"] or {}).get("normalizers", [])
+        splits = (spec["pre_tokenizer"] or {}).get("pretokenizers", [])
         if (
             model["type"] != MODEL_TYPE
             or model["end_of_word_suffix"] != WORD_END

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, functions as F
 from .text import BLOCK_BYTES, blocks, codes_of, window_codes
 
 # Bound of the training sample, and the part of it that only calibrates.
-SAMPLE_ROWS = 4_000
+SAMPLE_ROWS = 2_500
 CALIBRATION_SHARE = 0.25
 
 # Fixed threshold of the calibrated probability of being good; below it a text goes.
@@ -192,23 +192,25 @@ def fit(sample: DataFrame, *, steps: int = 120, ridge: float = 3e-4) -> QualityM
     if len(set(y)) < 2 or min(np.bincount(y.astype(int))) < 8:
         return KEEP_ALL
     held = np.arange(len(rows)) % round(1 / CALIBRATION_SHARE) == 0
-    slots = [np.frombuffer(r.slots, dtype=np.int32) for r in rows]
-    lengths = np.array([len(s) for s in slots])
-    row = np.repeat(np.arange(len(rows)), lengths)
-    column = np.concatenate(slots).astype(np.int64)
-    value = np.concatenate([np.frombuffer(r.shares, dtype=np.float32) for r in rows]).astype(np.float64)
-    del rows, slots
-    train = ~held[row]
-    weights = _descend(row[train], column[train], value[train], y, ~held, steps, ridge)
-    score = np.bincount(row, weights=weights[column] * value, minlength=len(y)) / SCALE
-    slope, offset = _platt(score[held], y[held])
+    weights = _descend(*_triples(rows, ~held), y[~held], steps, ridge)
+    row, column, value = _triples(rows, held)
+    score = np.bincount(row, weights=weights[column] * value, minlength=int(held.sum())) / SCALE
+    slope, offset = _platt(score, y[held])
     return QualityModel(weights.reshape(KINDS, SLOTS), slope, offset)
 
 
-def _descend(row, column, value, y, used, steps: int, ridge: float) -> np.ndarray:
+def _triples(rows: list, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, slot and share of the chosen rows' n-grams, in small types."""
+    picked = [r for r, c in zip(rows, chosen) if c]
+    slots = [np.frombuffer(r.slots, dtype=np.int32) for r in picked]
+    row = np.repeat(np.arange(len(picked), dtype=np.int32), [len(s) for s in slots])
+    return row, np.concatenate(slots), np.concatenate([np.frombuffer(r.shares, dtype=np.float32) for r in picked])
+
+
+def _descend(row, column, value, y, steps: int, ridge: float) -> np.ndarray:
     """Accelerated gradient descent of the ridge-penalised logistic loss, classes weighted alike."""
     n = len(y)
-    share = np.where(y > 0, 0.5 / max(1, (y[used] > 0).sum()), 0.5 / max(1, (y[used] == 0).sum())) * used
+    share = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y == 0).sum()))
     bound = np.bincount(row, weights=value * value, minlength=n).max() * 0.25 + 0.25
     step = 1.0 / (bound + ridge)
     w = np.zeros(KINDS * SLOTS)
