@@ -16,6 +16,8 @@ SAME_TYPE = {
 
 def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     db = duckdb.connect()
+    # Where an order leaves NULLs open, they stand where Spark puts them.
+    db.execute("set default_null_order = 'nulls_first_on_asc_last_on_desc'")
     for path in glob.glob(f"{sf_dir}/*.parquet"):
         name = os.path.basename(path)[: -len(".parquet")]
         db.execute(f"create view {name} as select * from read_parquet('{path}')")

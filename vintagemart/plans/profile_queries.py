@@ -363,7 +363,7 @@ def income_salary_summary(x: Inputs) -> DataFrame:
     "income_salary_audit",
     "select Customer_ID, snapshot_date, Annual_Income, Monthly_Inhand_Salary, annual_income_to_salary_ratio "
     f"from (select *, {INCOME_RATIO} as annual_income_to_salary_ratio from typed_fin) "
-    "where annual_income_to_salary_ratio > 1.5 order by Annual_Income",
+    "where annual_income_to_salary_ratio > 1.5 order by Annual_Income, Customer_ID, snapshot_date",
 )
 def income_salary_audit(x: Inputs) -> DataFrame:
     return audits.high_income_ratio(x.typed_financials)
@@ -382,7 +382,7 @@ def emi_top_k(x: Inputs) -> DataFrame:
 @query(
     "emi_without_loans",
     "select Customer_ID, snapshot_date, Num_of_Loan_clean, Type_of_Loan, Total_EMI_per_month from checked_fin "
-    "where Num_of_Loan_clean = 0 order by Total_EMI_per_month desc",
+    "where Num_of_Loan_clean = 0 order by Total_EMI_per_month desc, Customer_ID, snapshot_date",
 )
 def emi_without_loans(x: Inputs) -> DataFrame:
     return audits.without_loans(x.reconciled)
