@@ -83,6 +83,20 @@ def test_one_document_of_each_class_stays(spark):
     assert jaccard.keep_smallest(docs.limit(0)).count() == jaccard.classes(docs.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("bits", [jaccard.FILTER_BITS, 40_000, 3])
+def test_rows_of_regions_are_never_left_behind(spark, bits):
+    texts = spark.range(2000).selectExpr("if(id = 7, null, id) as id", "concat('t', id) as text", "id * 31 as digest")
+    chosen = texts.where("digest % 5 = 0 or id is null").selectExpr("struct(id, digest) as row")
+    near = jaccard.maybe_chosen(texts, chosen, bits)
+    assert near.columns == texts.columns
+    wanted = {tuple(r.row) for r in chosen.collect()}
+    found = [tuple(r) for r in near.collect()]
+    assert wanted <= {(i, d) for i, _, d in found}
+    assert set(found) <= {tuple(r) for r in texts.collect()}
+    assert len(found) < 500 or bits == 3
+    assert jaccard.maybe_chosen(texts, chosen.limit(0), bits).count() == 0
+
+
 def test_prefix_holds_a_shared_shingle(spark):
     rng = random.Random(9)
     texts = list(family(rng, 60, 60, 3))
