@@ -115,6 +115,29 @@ def test_clauses(text, want):
     assert kinds(text) == want
 
 
+def test_texts_that_only_share_a_word_all_count(spark):
+    """Every toxic text holds the word with the least hash, half of them one insult and half another."""
+    def text(i, *more):
+        return " ".join([f"{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + k)}filler" for k in range(12)] + list(more))
+
+    marks = sorted((f"shared{chr(97 + i)}{chr(97 + j)}" for i in range(26) for j in range(26)), key=lambda w: toxicity.blake2b(w.encode(), digest_size=8).hexdigest())
+    toxic = [text(i, marks[0], "wretch" if i % 2 else "moron") for i in range(60)]
+    clean = [text(100 + i, marks[0]) for i in range(200)]
+    sample = spark.createDataFrame([(t, 1) for t in toxic] + [(t, 0) for t in clean], "text string, label int")
+    assert set(toxicity.learn_lexicon(sample).words) == {"wretch", "moron"}
+
+
+def test_near_copies_count_once_and_others_whole():
+    def signature(words):
+        return toxicity._signature(words)
+
+    copied = [f"copied{i}" for i in range(100)]
+    near = [[*copied[:50], f"changed{i}", *copied[51:]] for i in range(5)]
+    far = [[*copied[:20], *(f"other{i}x{k}" for k in range(80))] for i in range(4)]
+    sizes = toxicity.group_sizes(toxicity.np.array([signature(w) for w in (*near, *far, [])]))
+    assert sizes.tolist() == [5] * 5 + [1] * 5
+
+
 def test_toxicity_of_odd_rows(spark):
     texts = [None, "", "plain words", "you idiot " * 3000, "you idiot", "you idiot"]
     docs = clashing(documents(spark, [*texts, (None, "idiot", "s")]))

@@ -51,6 +51,14 @@ PLAIN_SHARE, PLAIN_LOG_RATIO = 0.05, 5.0
 # Weight from which more of it says no more about a text, and the unit it is counted in.
 ENOUGH, UNIT = 12.0, 4.0
 
+# Near copies are texts of one label of whose min-hashes so many agree; they are looked for
+# among texts that agree in a whole band.
+HASHES, BAND, NEAR = 64, 4, 0.7
+
+# Weight of a text without near copies; those of a group share one such weight (whole numbers,
+# so that sums do not depend on their order).
+WHOLE = 720_720
+
 # Lengths of the beginnings of words that may become a pattern.
 BEGINNINGS = (4, 5, 6, 7, 8)
 
@@ -198,37 +206,101 @@ class ToxicityModel:
         return 1.0 / (1.0 + math.exp(-max(-40.0, min(40.0, float(features @ self.weights) + self.offset))))
 
 
+def _spread() -> tuple[np.ndarray, np.ndarray]:
+    """Fixed multipliers and offsets of the min-hashes."""
+    rng = np.random.default_rng(5)
+    return rng.integers(1 << 62, size=HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1), rng.integers(1 << 63, size=HASHES, dtype=np.uint64)
+
+
+def _signature(words: list[str]) -> np.ndarray:
+    """Min-hashes of a set of words; the share of them in which two sets agree estimates their similarity."""
+    multiply, add = _spread()
+    least = np.full(HASHES, np.iinfo(np.uint32).max, dtype=np.uint64)
+    for at in range(0, len(words), 4096):
+        digests = b"".join(blake2b(w.encode(), digest_size=8).digest() for w in words[at : at + 4096])
+        hashes = np.frombuffer(digests, dtype="<u8")[:, None]
+        least = np.minimum(least, ((hashes * multiply + add) >> np.uint64(32)).min(axis=0))
+    return least.astype("<u4")
+
+
 def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The distinct words and beginnings of each text, and a mark that near copies share."""
+    """The distinct words and beginnings of each text, their digest, and min-hashes of the words."""
     for rows, texts in blocks(batches, "text"):
-        terms, marks = [], []
+        terms, keys, signatures = [], [], []
         for text in texts:
-            words = {w for w in LETTERS.findall((text or "").lower()) if len(w) >= BEGINNINGS[0]}
-            starts = {w[:n] + "*" for w in words for n in BEGINNINGS if len(w) > n}
-            terms.append(sorted(words | starts))
-            long = [w for w in words if len(w) >= 7] or sorted(words) or [""]
-            marks.append(min(blake2b(w.encode(), digest_size=8).hexdigest() for w in long))
+            words = sorted({w for w in LETTERS.findall((text or "").lower()) if len(w) >= BEGINNINGS[0]})
+            terms.append(sorted({*words, *(w[:n] + "*" for w in words for n in BEGINNINGS if len(w) > n)}))
+            # Words determine the terms.
+            keys.append(blake2b(" ".join(words).encode(), digest_size=16).hexdigest())
+            signatures.append(_signature(words).tobytes())
         yield pa.RecordBatch.from_arrays(
-            [pa.array(terms, pa.list_(pa.string())), pa.array(marks), rows.column(rows.schema.get_field_index("label"))],
-            names=["terms", "mark", "label"],
+            [
+                pa.array(terms, pa.list_(pa.string())),
+                pa.array(keys),
+                pa.array(signatures, pa.binary()),
+                rows.column(rows.schema.get_field_index("label")),
+            ],
+            names=["terms", "key", "signature", "label"],
         )
 
 
+def group_sizes(signatures: np.ndarray) -> np.ndarray:
+    """For each row of min-hashes, how many rows its group of near copies has.
+
+    Rows that agree in a band are candidates; those near enough to the first of them
+    are linked to it, the others are compared with the first that is left, and so on.
+    """
+    n = len(signatures)
+    root = np.arange(n)
+
+    def find(i: int) -> int:
+        while root[i] != i:
+            root[i] = root[root[i]]
+            i = root[i]
+        return i
+
+    for at in range(0, HASHES, BAND):
+        _, band = np.unique(signatures[:, at : at + BAND], axis=0, return_inverse=True)
+        order = np.argsort(band.ravel(), kind="stable")
+        for left in np.split(order, np.flatnonzero(np.diff(band.ravel()[order])) + 1):
+            while len(left) > 1:
+                near = (signatures[left] == signatures[left[0]]).mean(axis=1) >= NEAR
+                for i in left[near][1:].tolist():
+                    a, b = sorted((find(left[0]), find(i)))
+                    root[b] = a
+                left = left[~near]
+    _, group, size = np.unique([find(i) for i in range(n)], return_inverse=True, return_counts=True)
+    return size[group]
+
+
 def learn_lexicon(sample: DataFrame) -> Lexicon:
     """Terms of toxic texts from a bounded sample of (text, label); a group of near copies counts once.
 
-    Of the terms that toxic texts hold far more often, only those enter that explain
-    texts the others do not: the words of a few copied texts explain little.
+    Texts with the same words are one; every other text counts with all its terms,
+    near copies with one over the size of their group.  Of the terms that toxic texts
+    hold far more often, only those enter that explain texts the others do not: the
+    words of a few copied texts explain little.
     """
-    texts = sample.mapInArrow(_terms, "terms array<string>, mark string, label int")
-    once = texts.groupBy("mark", "label").agg(F.min("terms").alias("terms")).persist()
-    totals = Counter({r.label: r["count"] for r in once.groupBy("label").count().collect()})
+    texts = sample.mapInArrow(_terms, "terms array<string>, key string, signature binary, label int")
+    once = texts.groupBy("key", "label").agg(F.min("terms").alias("terms"), F.min("signature").alias("signature")).persist()
+    weights: list[tuple[str, int, int]] = []
+    totals: Counter = Counter()
+    marks = once.select("key", "label", "signature").collect()
+    for label in (0, 1):
+        rows = sorted((r.key, bytes(r.signature)) for r in marks if r.label == label)
+        if rows:
+            sizes = group_sizes(np.array([np.frombuffer(s, dtype="<u4") for _, s in rows]))
+            weights += [(key, label, WHOLE // int(size)) for (key, _), size in zip(rows, sizes)]
+        totals[label] = sum(w for _, l, w in weights if l == label) / WHOLE
     toxic, clean = totals[1], totals[0]
     if not toxic or not clean:
         once.unpersist()
         return Lexicon({}, {})
-    counts = once.select("label", F.explode("terms").alias("term")).groupBy("term").agg(
-        F.count_if(F.col("label") == 1).alias("a"), F.count_if(F.col("label") == 0).alias("b")
+    # At most as many rows as the sample has.
+    weighed = F.broadcast(sample.sparkSession.createDataFrame(weights, "key string, label int, share long"))
+    once_weighed = once.select("key", "label", "terms").join(weighed, ["key", "label"])
+    counts = once_weighed.select("label", "share", F.explode("terms").alias("term")).groupBy("term").agg(
+        *[(F.sum(F.when(F.col("label") == label, F.col("share")).otherwise(0)) / WHOLE).alias(name) for label, name in ((1, "a"), (0, "b"))]
     )
     ratio = F.log(((F.col("a") + 0.5) / (toxic + 1)) / ((F.col("b") + 0.5) / (clean + 1)))
     least = max(LEAST_TEXTS, LEAST_SHARE * toxic)
@@ -242,36 +314,40 @@ def learn_lexicon(sample: DataFrame) -> Lexicon:
     )
     weight = {r.term: float(r.weight) for r in found}
     # Which of these terms each text of the sample holds.
-    held = once.select("label", F.array_intersect("terms", F.lit(sorted(weight)).cast("array<string>")).alias("held"))
+    held = once_weighed.select("label", "share", F.array_intersect("terms", F.lit(sorted(weight)).cast("array<string>")).alias("held"))
     texts_of: dict[str, set[int]] = {t: set() for t in weight}
-    clean_of = Counter()
+    shares: dict[int, int] = {}
+    clean_of: Counter = Counter()
     for i, r in enumerate(held.where(F.size("held") > 0).collect()):
+        shares[i] = r.share
         for term in r.held:
             if r.label:
                 texts_of[term].add(i)
             else:
-                clean_of[term] += 1
+                clean_of[term] += r.share
     once.unpersist()
-    chosen = _cover(texts_of, clean_of, max(1, LEAST_GAIN * toxic))
+    chosen = _cover(texts_of, clean_of, max(1, LEAST_GAIN * toxic) * WHOLE, shares)
     chosen += [r.term for r in found if r.a >= PLAIN_SHARE * toxic and r.weight >= PLAIN_LOG_RATIO and not r.term.endswith("*")]
     return Lexicon(
         {t: weight[t] for t in chosen if not t.endswith("*")}, {t[:-1]: weight[t] for t in chosen if t.endswith("*")}
     )
 
 
-def _cover(texts_of: dict[str, set[int]], clean_of: Counter, least: float) -> list[str]:
+def _cover(texts_of: dict[str, set[int]], clean_of: Counter, least: float, shares: dict[int, int]) -> list[str]:
     """Terms that together explain the toxic texts, each by what it adds to those before it."""
     chosen, left = [], {t: set(texts) for t, texts in texts_of.items()}
+    gains = {t: sum(shares[i] for i in texts) - CLEAN_COST * clean_of[t] for t, texts in left.items()}
     while left:
         # Of equal gains the one that is not a beginning, then the shorter one.
-        term = max(left, key=lambda t: (len(left[t]) - CLEAN_COST * clean_of[t], not t.endswith("*"), -len(t), t))
-        gain = len(left[term]) - CLEAN_COST * clean_of[term]
-        if gain < least:
+        term = max(left, key=lambda t: (gains[t], not t.endswith("*"), -len(t), t))
+        if gains[term] < least:
             break
         chosen.append(term)
         texts = left.pop(term)
-        for other in left.values():
-            other -= texts
+        for other, its in left.items():
+            both = its & texts
+            gains[other] -= sum(shares[i] for i in both)
+            its -= both
     return chosen
 
 
