@@ -98,6 +98,19 @@ def test_random_runs_are_found_and_words_are_not(spark):
     assert got[0] == "random:4:28" and got[1] == "" and got[2] == "" and got[3] != ""
 
 
+def test_the_only_secrets_of_many_documents_are_learned_from(spark):
+    """More documents than were once looked into, with matches in the last ones by hash of the id."""
+    docs = spark.range(21_000).withColumn("rank", F.xxhash64(F.col("id").cast("string"))).orderBy("rank", "id")
+    last = {r.id for r in docs.collect()[-200:]}
+    held = F.col("id").isin(list(last))
+    key = F.concat(F.lit("password="), F.translate(F.substring(F.base64(F.unhex(F.sha2(F.col("id").cast("string").cast("binary"), 256))), 1, 40), "=", ""))
+    docs = docs.select(F.col("id").alias("doc_id"), F.when(held, key).otherwise(F.lit("ordinary thousand sentences")).alias("text"))
+    model = secrets.learn(docs)
+    assert model is not None
+    texts = ["key zq9X7kP2vL4mT8wR1nB6cY3d end", "ordinary-thousand-sentences"]
+    assert [r.spans for r in secrets.scan(documents(spark, texts), model).orderBy("doc_id").collect()] == ["random:4:28", ""]
+
+
 def test_redaction(spark):
     docs = clashing(documents(spark, [*SECRETS, SECRETS[9]]))
     clean = secrets.redact(docs, None)

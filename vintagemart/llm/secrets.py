@@ -3,15 +3,15 @@
 The patterns find assignments of credentials, access keys and long hexadecimal
 numbers.  Beyond them, every long run of key characters is judged by two
 character Markov models, one of random strings and one of ordinary words: it is
-a secret if the log-likelihood ratio of the two is high.  Both models are learned
-from a bounded sample of documents, in which the patterns label the random
-strings and all other words are ordinary.
+a secret if the log-likelihood ratio of the two is high.  Both models are counted
+over all documents, in which the patterns label the random strings and all other
+words are ordinary: neighbouring characters are added up before they are shuffled.
 
 All of it is SQL on columns: the pattern engine gives the matches and the text
-between them, whose lengths add up to positions in code points.  No shuffle, and
-rows without a match pass with a few pattern tests.
+between them, whose lengths add up to positions in code points.  The scan has no
+shuffle, and rows without a match pass with a few pattern tests.
 
-Defined results: a null or empty text has no spans.  If the sample holds no
+Defined results: a null or empty text has no spans.  If the documents hold no
 random strings, only the patterns count.  Ties, repeated rows and extra columns
 do not matter.
 """
@@ -23,10 +23,6 @@ from collections import defaultdict
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-# Bounds of the learning sample: documents, by a hash of their id, and random strings from them.
-SAMPLE_DOCS = 20_000
-ORDINARY_DOCS = 500
-
 # A run is a secret from this mean log-likelihood ratio per character on (natural logarithm).
 LEAST_MEAN_RATIO = 0.7
 
@@ -94,10 +90,11 @@ def _places(run: Column) -> Column:
 
 
 def _pairs(strings: DataFrame) -> DataFrame:
-    """Counts of neighbouring characters in a column of strings; 0 stands before the first."""
-    codes = strings.select(_places(F.col("string")).alias("c"))
-    both = F.arrays_zip(F.concat(F.array(F.lit(0)), F.col("c")).alias("a"), F.col("c").alias("b"))
-    return codes.select(F.explode(both).alias("p")).where("p.b is not null").groupBy("p.a", "p.b").count()
+    """Counts of neighbouring characters in (random, string); a blank stands before the first."""
+    codes = strings.select("random", F.split("string", "").alias("c"))
+    both = F.arrays_zip(F.concat(F.array(F.lit(" ")), F.col("c")).alias("a"), F.col("c").alias("b"))
+    pairs = codes.select("random", F.explode(both).alias("p")).where("p.b is not null")
+    return pairs.groupBy("random", F.col("p.a").alias("a"), F.col("p.b").alias("b")).count()
 
 
 class RandomModel:
@@ -119,24 +116,28 @@ class RandomModel:
         return F.aggregate(_places(run), start, add, lambda done: done["sum"]) / F.length(run)
 
 
-def learn(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text", rows: int = SAMPLE_DOCS) -> RandomModel | None:
-    """Models of random and ordinary strings from a bounded sample of documents."""
-    order = F.xxhash64(F.col(id_column).cast("string"))
-    ids = docs.select(F.col(id_column).alias("id"), order.alias("rank")).where("id is not null").distinct().orderBy("rank", "id").limit(rows)
-    # At most SAMPLE_DOCS ids.
-    texts = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text")).join(F.broadcast(ids), "id")
+def learn(docs: DataFrame, *, text_column: str = "text") -> RandomModel | None:
+    """Models of random and ordinary strings from all documents."""
+    texts = docs.select(F.col(text_column).alias("text"))
     text = F.col("text")
+    none = F.array().cast("array<string>")
     values = F.when(text.rlike(ASSIGN_HINT), F.regexp_extract_all(text, F.lit(ASSIGN), F.lit(2)))
+    values = F.filter(F.coalesce(values, none), lambda v: F.length(v) >= ASSIGN_LEAST)
     others = F.concat(F.regexp_extract_all(text, F.lit(ACCESS), F.lit(0)), F.regexp_extract_all(text, F.lit(HEX), F.lit(0)))
-    random = texts.select(F.explode(F.concat(F.coalesce(values, F.array().cast("array<string>")), others)).alias("string"))
-    random_pairs = _pairs(random.where(F.length("string") >= ASSIGN_LEAST)).collect()
-    if not random_pairs:
-        return None
-    first = ids.orderBy("rank", "id").limit(ORDINARY_DOCS)
-    ordinary = docs.select(F.col(id_column).alias("id"), text.alias("text")).join(F.broadcast(first), "id")
     bare = F.regexp_replace(F.regexp_replace(F.regexp_replace("text", ASSIGN, " "), ACCESS, " "), HEX, " ")
-    words = ordinary.select(F.explode(F.regexp_extract_all(bare, F.lit(ORDINARY), F.lit(0))).alias("string"))
-    return RandomModel(_ratios(random_pairs, _pairs(words).collect()))
+    kinds = F.array(
+        F.struct(F.lit(True).alias("random"), F.concat(values, others).alias("strings")),
+        F.struct(F.lit(False).alias("random"), F.regexp_extract_all(bare, F.lit(ORDINARY), F.lit(0)).alias("strings")),
+    )
+    found = texts.where("text is not null").select(F.explode(kinds).alias("k"))
+    # At most two rows for each pair of characters that a string can have.
+    counts = _pairs(found.select("k.random", F.explode("k.strings").alias("string"))).collect()
+    random, ordinary = ([(_code(r.a), _code(r.b), r["count"]) for r in counts if r.random == kind] for kind in (True, False))
+    return RandomModel(_ratios(random, ordinary)) if random else None
+
+
+def _code(character: str) -> int:
+    return ALPHABET.find(character) + 1
 
 
 def _ratios(random: list, ordinary: list) -> list[float]:
