@@ -53,6 +53,20 @@ def test_scores_do_not_depend_on_the_block():
     assert [model.probability([t])[0] for t in texts] == pytest.approx(together, abs=1e-12)
 
 
+def test_training_takes_4000_rows_and_does_not_depend_on_the_block(spark, monkeypatch):
+    docs = spark.range(4500).selectExpr("id as doc_id", "concat('t', id) as text")
+    labels = spark.range(4500).selectExpr("id as doc_id", "cast(id % 2 as int) as quality")
+    assert quality.training_rows(docs, labels, "quality").count() == 4000
+    sample = documents(spark, [f"{'good' if i % 2 else 'bad'} words {i} {i * 7}" for i in range(150)])
+    sample = sample.select("text", (F.col("doc_id") % 2).cast("int").alias("label"))
+    first = quality.fit(sample)
+    monkeypatch.setattr(quality, "ROW_BLOCK", 1000)
+    second = quality.fit(sample)
+    assert first.weights == pytest.approx(second.weights, abs=1e-9)
+    assert (first.slope, first.offset) == pytest.approx((second.slope, second.offset), rel=1e-6)
+    assert (first.probability(["good words", "bad words"]) > 0.5).tolist() == [True, False]
+
+
 def test_quality_on_rows_not_trained_on(spark):
     """Half of the labels train; the other half is judged."""
     docs, labels = (queries.table(spark, SAMPLE, t) for t in ("documents", "labels"))
