@@ -151,6 +151,23 @@ def test_mix_meets_its_targets(spark):
     assert weighed.count() == len(docs) and len(share) == 2
 
 
+def test_sources_at_their_cap_are_not_put_in_order(spark, monkeypatch):
+    """Half of the sources meet their cap; none of their rows may reach the search for a boundary."""
+    docs = documents(spark, [(i, sizes(20), f"s{i % 4}") for i in range(400)] + [(1000 + i, None, "s0") for i in range(5)])
+    cuts = {}
+    real = mixing.written
+
+    def written(df, name):
+        cuts[name] = real(df, name)
+        return cuts[name]
+
+    monkeypatch.setattr(mixing, "written", written)
+    found = {r.id: r for r in mixing.taken(docs).collect()}
+    whole = {r.source for r in cuts["mix-targets"].where("rest = 0").collect()}
+    assert whole and whole.isdisjoint(r.source for r in cuts["mix-cuts"].collect())
+    assert all(r.copies == round(r.target / r.source_size) for r in found.values() if r.source in whole)
+
+
 def test_mix_of_nothing(spark):
     empty = documents(spark, [])
     assert mixing.taken(empty).count() == mixing.mix(empty).count() == 0

@@ -13,7 +13,8 @@ The random number comes from a digest of the document's id, so reruns agree.
 
 No source is ever brought into one task: ranks are cut into buckets, sizes are
 added up per source and bucket before they are shuffled, and running sums are
-taken over buckets.  Only the bucket on the boundary is looked into, again by
+taken over buckets.  A source of which only whole copies are taken has no boundary
+and is left out of that.  Only the bucket on the boundary is looked into, again by
 buckets, and at last the few documents of one bucket of a bucket are put in
 order.  Sums over sources run over one row per source.
 
@@ -143,7 +144,8 @@ def taken(
     # Sizes are needed four times and the texts only once.
     sized = written(docs.select(*plain), "mix-sizes")
     wanted = written(targets(sized), "mix-targets")
-    ranked = _ranked(sized, wanted, weighed)
+    # Nothing is left to take beyond whole copies where the rest is zero; those rows are never put in order.
+    ranked = _ranked(sized, wanted.where("rest > 0"), weighed)
     coarse = _boundary(
         ranked.groupBy("source", "coarse").agg(F.sum("size").alias("words"), F.first("rest").alias("rest")), "coarse", F.lit(0)
     ).select("source", F.col("cut.coarse").alias("cut_coarse"), F.col("cut.before").alias("before"))
