@@ -194,3 +194,21 @@ def test_top_k_of_few_rows(spark):
     assert topk.top_k(spark.createDataFrame([(0, [1.0])], schema)).count() == 0
     two = spark.createDataFrame([(0, [1.0]), (1, [2.0])], schema)
     assert [tuple(r) for r in topk.top_k(two).collect()] == [(0, 1, 1, 256 * 512)]
+
+
+def test_rows_of_one_id_are_spread_over_shards(spark, monkeypatch):
+    most = spark.sparkContext.accumulator(0)
+    real = topk._best
+
+    def best(k, left, right):
+        if left.num_rows > 150:
+            most.add(1)
+        return real(k, left, right)
+
+    monkeypatch.setattr(topk, "_best", best)
+    rng = np.random.default_rng(3)
+    vectors = [(50, [float(np.float32(x)) for x in rng.normal(size=4)]) for _ in range(400)] + [(50, [0.5] * 4)] * 3
+    df = spark.createDataFrame(vectors, "vec_id bigint, embedding array<float>")
+    got = topk.top_k(df, shard_rows=40, query_block=100)
+    assert sorted(map(tuple, got.collect())) == brute_top(vectors, 50, 5)
+    assert most.value == 0

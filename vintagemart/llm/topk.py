@@ -10,7 +10,8 @@ probed in the rest.  Each shard returns its k best, and the shards' lists are
 merged.
 
 Queries are all rows whose id is divisible by ``every``.  They meet the shards in
-blocks of bounded size: one task has one shard and one block of queries.
+blocks of bounded size: one task has one shard and one block of queries.  Rows are
+numbered and written once, and dealt by their numbers, so that rows of one id spread.
 
 Defined results: components are turned into floor(scale * x); vectors that are
 null, empty, or hold null or non-finite components take no part, nor do rows
@@ -27,6 +28,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..sources.scratch import written
+
 # Rows of a shard and of a block of queries.
 SHARD_ROWS = 4096
 QUERY_BLOCK = 8192
@@ -52,14 +55,15 @@ def whole_numbers(vector: Column, scale: int = SCALE) -> Column:
 class Shard:
     """The candidates of one shard as posting lists, one row per dimension."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray):
+    def __init__(self, ids: np.ndarray, rows: np.ndarray, vectors: np.ndarray):
         order = np.argsort(ids, kind="stable")
+        self.place = {row: at for at, row in enumerate(rows[order].tolist())}
         self.ids, self.lists = ids[order], np.ascontiguousarray(vectors[order].T)
         self.most, self.least = self.lists.max(axis=1), self.lists.min(axis=1)
 
-    def search(self, query_id: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    def search(self, row: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids and scores of the k best candidates but the query's own row."""
-        own = self._own(query_id, query)
+        own = self.place.get(row, -1)
         n = len(self.ids)
         if n <= (own >= 0):
             return self.ids[:0], self.ids[:0]
@@ -96,14 +100,6 @@ class Shard:
         best = np.lexsort((self.ids[alive], -total))[:k]
         return self.ids[alive[best]], total[best]
 
-    def _own(self, query_id: int, query: np.ndarray) -> int:
-        at = int(np.searchsorted(self.ids, query_id))
-        while at < len(self.ids) and self.ids[at] == query_id:
-            if (self.lists[:, at] == query).all():
-                return at
-            at += 1
-        return -1
-
 
 def _matrix(column: pa.ChunkedArray, width: int) -> np.ndarray:
     rows = column.combine_chunks()
@@ -118,7 +114,7 @@ def _matrix(column: pa.ChunkedArray, width: int) -> np.ndarray:
 
 def _best(k: int, left: pa.Table, right: pa.Table) -> pa.Table:
     """The k best candidates of a shard (left) for a block of queries (right)."""
-    out: dict[str, list] = {"query_id": [], "copy": [], "vec_id": [], "score": []}
+    out: dict[str, list] = {"query_id": [], "row": [], "vec_id": [], "score": []}
     if left.num_rows and right.num_rows:
         width = max(max(map(len, t.column("vector").to_pylist())) for t in (left, right))
         candidates, queries = _matrix(left.column("vector"), width), _matrix(right.column("vector"), width)
@@ -126,14 +122,14 @@ def _best(k: int, left: pa.Table, right: pa.Table) -> pa.Table:
             # Rare: whole numbers of any size.
             candidates, queries = candidates.astype(object), queries.astype(object)
             candidates, queries = np.vectorize(int, otypes=[object])(candidates), np.vectorize(int, otypes=[object])(queries)
-        shard = Shard(left.column("vec_id").to_numpy(), candidates)
-        for id_, copy, query in zip(right.column("vec_id").to_pylist(), right.column("copy").to_pylist(), queries):
-            found, scores = shard.search(id_, query, k)
+        shard = Shard(left.column("vec_id").to_numpy(), left.column("row").to_numpy(), candidates)
+        for id_, row, query in zip(right.column("vec_id").to_pylist(), right.column("row").to_pylist(), queries):
+            found, scores = shard.search(row, query, k)
             out["query_id"] += [id_] * len(found)
-            out["copy"] += [copy] * len(found)
+            out["row"] += [row] * len(found)
             out["vec_id"] += found.tolist()
             out["score"] += [int(s) for s in scores]
-    return pa.table(out, schema=pa.schema([("query_id", pa.int64()), ("copy", pa.int32()), ("vec_id", pa.int64()), ("score", pa.int64())]))
+    return pa.table(out, schema=pa.schema([("query_id", pa.int64()), ("row", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())]))
 
 
 def top_k(
@@ -150,29 +146,29 @@ def top_k(
     """Per query its k highest scores: (query_id, rank, vec_id, score)."""
     rows = vectors.select(F.col(id_column).cast("long").alias("vec_id"), whole_numbers(F.col(vector_column), scale).alias("vector"))
     rows = rows.where("vec_id is not null and vector is not null")
+    # Written, so that every later read sees the same number on a row.
+    rows = written(rows.withColumn("row", F.monotonically_increasing_id()), "vectors")
     queries = rows.where(F.col("vec_id") % every == 0)
     counts = rows.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("vec_id") % every == 0).alias("q")).first()
     shards, query_blocks = max(1, math.ceil(counts.n / shard_rows)), max(1, math.ceil(counts.q / query_block))
-    # Rows with the same id have the same shard.
     candidates = rows.select(
-        F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int").alias("shard"),
+        F.pmod(F.xxhash64("row"), F.lit(shards)).cast("int").alias("shard"),
         F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))).alias("block"),
+        "row",
         "vec_id",
         "vector",
     )
-    # Rows with one id are queries of their own; numbered before they are sent to every shard.
-    copy = F.row_number().over(Window.partitionBy("vec_id").orderBy("vector"))
-    asked = queries.withColumn("copy", copy).select(
+    asked = queries.select(
         F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"),
-        F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(query_blocks)).cast("int").alias("block"),
-        "copy",
+        F.pmod(F.xxhash64("row", F.lit(1)), F.lit(query_blocks)).cast("int").alias("block"),
+        "row",
         "vec_id",
         "vector",
     )
     found = candidates.groupBy("shard", "block").cogroup(asked.groupBy("shard", "block")).applyInArrow(
-        lambda left, right: _best(k, left, right), "query_id long, copy int, vec_id long, score long"
+        lambda left, right: _best(k, left, right), "query_id long, row long, vec_id long, score long"
     )
     # Each query has at most k rows from every shard.
-    order = Window.partitionBy("query_id", "copy").orderBy(F.desc("score"), "vec_id")
+    order = Window.partitionBy("query_id", "row").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
