@@ -131,3 +131,34 @@ with sized as (
 )
 select doc_id, size, source_size, target, (size * (copies + (2 * before_ + size <= 2 * rest)::int))::bigint as taken from placed
 """
+
+COLLOCATIONS = rf"""
+with pieces as (
+  select coalesce(lang, 'und') as lang, regexp_extract_all(unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), {ALPHABETS}), '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') as w
+  from documents
+), places as (select lang, w, unnest(range(1, len(w) + 1)) as i from pieces
+), grams as (select lang, list_slice(w, i, i + m - 1) as p from places, range(1, 5) as lengths(m) where i + m - 1 <= len(w)
+), counts as (select lang, p, count(*) as f from grams group by lang, p
+), totals as (select lang, sum(f)::bigint as n from counts where len(p) = 1 group by lang
+), often as (select lang, p, f as a from counts where len(p) > 1 and f >= 30
+), cuts as (
+  select lang, p, a, unnest(range(1, len(p))) as k from often
+), scored as (
+  select cuts.*, x.f as l, y.f as r, (2000000 * a::hugeint) // (x.f + y.f) as score
+  from cuts join counts x on x.lang = cuts.lang and x.p = list_slice(cuts.p, 1, k)
+  join counts y on y.lang = cuts.lang and y.p = list_slice(cuts.p, k + 1, len(cuts.p))
+), lowest as (select * from scored qualify row_number() over (partition by lang, p order by score, k) = 1
+), inner_ as (
+  select lang, list_slice(p, i, i + m - 1) as p, max(a) as longer
+  from (select lang, p, a, m, unnest(range(1, len(p) - m + 2)) as i from often, range(2, 4) as lengths(m) where m < len(p))
+  group by all
+), kept as (
+  select lowest.* from lowest left join inner_ using (lang, p) where longer is null or 100 * longer::hugeint < 80 * a::hugeint
+), ranked as (
+  select *, array_to_string(p, ' ') as phrase,
+         row_number() over (partition by lang order by score desc, a desc, encode(array_to_string(p, ' '))) as rank
+  from kept
+)
+select lang, rank, phrase, a, l, r, n, score::bigint as score from ranked join totals using (lang) where rank <= 2000
+"""

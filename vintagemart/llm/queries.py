@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, jaccard, mixing, oracles, quality, repeats, reputation, secrets, token_counts, topk, toxicity
+from . import bpe, collocations, jaccard, mixing, oracles, quality, repeats, reputation, secrets, token_counts, topk, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -103,10 +103,16 @@ def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.classes(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 ORACLES |= {
     "op2_url_reputation": oracles.URL_REPUTATION,
     "op6_jaccard_join": oracles.JACCARD_JOIN,
     "op7_repeated_passages": oracles.REPEATED_PASSAGES,
     "op9_top_k": oracles.TOP_K,
     "op10_source_mix": oracles.SOURCE_MIX,
+    "op11_collocations": oracles.COLLOCATIONS,
 }
