@@ -162,3 +162,24 @@ with pieces as (
 )
 select lang, rank, phrase, a, l, r, n, score::bigint as score from ranked join totals using (lang) where rank <= 2000
 """
+
+TERM = r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'"
+
+LEXICAL_SEARCH = f"""
+with docs as (
+  select doc_id, row_number() over () as r, regexp_extract_all(translate(coalesce(text, ''), {ALPHABETS}), {TERM}) as t from documents
+), figures as (select count(*)::bigint as nd, sum(len(t))::bigint as nl from docs where len(t) > 0
+), postings as (select r, doc_id, len(t)::bigint as n, unnest(t) as term from docs
+), counted as (select r, doc_id, n, term, count(*)::bigint as tf from postings group by all
+), weights as (
+  select term, floor(1000 * ln((2 * nd + 2)::double / (2 * count(*) + 1)::double))::bigint as w from counted, figures group by term, nd
+), items as (
+  select distinct item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), {ALPHABETS}), {TERM})) as term from benchmark
+), scored as (
+  select item_id, r, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * nd) // nl))))::bigint as score
+  from items join counted using (term) join weights using (term), figures group by item_id, r, doc_id
+), ranked as (
+  select *, row_number() over (partition by item_id order by score desc, doc_id nulls last) as place from scored where score > 0
+)
+select item_id, place::integer as rank, doc_id, score from ranked where place <= 50
+"""
