@@ -193,7 +193,7 @@ def test_main_text_of_no_pages_and_repeated_ones(spark, tree):
 
 def test_tree_learns_from_other_labels(spark):
     """Labels decide: here what stands in a menu is wanted."""
-    table = main_text.labelled_blocks(spark, ["<nav data-main><p>menu</p></nav><article><p>article</p></article>"] * 3)
-    other = main_text.fit(table)
+    menu, article = "<nav data-main><p>menu</p></nav>", "<article><p>article</p></article>"
+    other = main_text.fit(main_text.labelled_blocks(spark, [menu + article, article + menu, menu, article]))
     found = main_text.blocks_of("<article>x</article><nav>y</nav>")
     assert other.decide(main_text.features_of(found)).tolist() == [False, True]

@@ -48,7 +48,7 @@ NO_LANG = "und"
 
 # Text that is put in order at once, and text whose windows make one range.
 BLOCK = 8 << 20
-RANGE_BYTES = 16 << 20
+RANGE_BYTES = 6 << 20
 
 # Sample that the bounds of ranges are taken from: at least so much text, so much of it and so many windows a range.
 SAMPLE_BYTES = 8 << 20
@@ -129,8 +129,8 @@ def _ranked(words: pa.Array) -> tuple[pa.Array, np.ndarray]:
     """The distinct words in order, and the place of each word among them."""
     coded = words.dictionary_encode()
     order = pc.sort_indices(coded.dictionary).to_numpy()
-    place = np.empty(len(order), dtype=np.int64)
-    place[order] = np.arange(len(order))
+    place = np.empty(len(order), dtype=np.int32)
+    place[order] = np.arange(len(order), dtype=np.int32)
     return coded.dictionary.take(pa.array(order)), place[coded.indices.to_numpy()]
 
 
@@ -150,9 +150,9 @@ def windows_of(texts: list[str | None], langs: list[str | None], longest: int =
     offsets = np.append(0, np.cumsum(ends - starts)).astype(np.int64)
     found = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data[word].tobytes())])
     words, place = _ranked(found)
-    columns = [lang[np.searchsorted(text_ends, starts, side="right")]]
+    columns = [lang[np.searchsorted(text_ends, starts, side="right")].astype(np.int32)]
     for shift in range(longest):
-        column = np.zeros(len(starts), dtype=np.int64)
+        column = np.zeros(len(starts), dtype=np.int32)
         if shift < len(starts):
             column[: len(starts) - shift] = np.where(piece[shift:] == piece[: len(starts) - shift], place[shift:] + 1, 0)
         columns.append(column)
@@ -161,27 +161,35 @@ def windows_of(texts: list[str | None], langs: list[str | None], longest: int =
 
 def _together(parts: pa.Table, longest: int) -> Windows:
     """The windows of several packed streams, merged."""
-    langs: list[str] = []
-    words: list[bytes] = []
-    columns: list[list[np.ndarray]] = [[] for _ in range(longest + 1)]
-    counts, spans = [], []
-    for row in range(parts.num_rows):
-        mine, codes, many, own = (parts.column(n)[row].as_py() for n in ("words", "codes", "counts", "langs"))
-        mine, own = _expand(mine).split(b" "), json.loads(own)
-        many = np.frombuffer(_expand(many), dtype=np.int64)
+    packed = [[parts.column(n)[row].as_py() for n in ("langs", "words", "codes", "counts")] for row in range(parts.num_rows)]
+    own = [json.loads(p[0]) for p in packed]
+    names = sorted({name for langs in own for name in langs}, key=str.encode)
+    number = {name: i for i, name in enumerate(names)}
+    # Every stream's words, one after the other, and their places among all.
+    words, place = _ranked(pa.concat_arrays([_split(_expand(p[1])) for p in packed]))
+    counts = [np.frombuffer(_expand(p[3]), dtype=np.int64) for p in packed]
+    columns = [np.empty(sum(map(len, counts)), dtype=np.int32) for _ in range(longest + 1)]
+    row = word = 0
+    for (_, mine, codes, _), langs, many in zip(packed, own, counts):
         codes = np.frombuffer(_expand(codes), dtype=np.int32).reshape(longest + 1, len(many))
-        spans.append((len(langs), len(words), codes))
-        langs += own
-        words += mine
-        counts.append(many)
-    names = sorted(set(langs), key=str.encode)
-    lang_place = np.array([names.index(v) for v in langs], dtype=np.int64)
-    distinct, place = _ranked(pa.array(words, pa.large_binary()))
-    for lang_at, word_at, codes in spans:
-        columns[0].append(lang_place[lang_at + codes[0]])
+        rows = slice(row, row + len(many))
+        columns[0][rows] = np.array([number[v] for v in langs])[codes[0]]
+        # A stream numbers its words from 1 without a gap.
+        n_words = int(codes[1:].max())
+        places = np.append(0, place[word : word + n_words] + 1).astype(np.int32)
         for column, code in zip(columns[1:], codes[1:]):
-            column.append(np.where(code > 0, place[word_at + code - 1] + 1, 0))
-    return Windows(names, distinct, [np.concatenate(c) for c in columns], np.concatenate(counts))
+            column[rows] = places[code]
+        row, word = rows.stop, word + n_words
+    return Windows(names, words, columns, np.concatenate(counts))
+
+
+def _split(data: bytes) -> pa.Array:
+    """The words that blanks part."""
+    letters = np.frombuffer(data, dtype=np.uint8)
+    ends = np.append(np.flatnonzero(letters == 0x20), len(letters))
+    offsets = np.append(0, ends - np.arange(len(ends))).astype(np.int64)
+    kept = pa.py_buffer(letters[letters != 0x20].tobytes())
+    return pa.Array.from_buffers(pa.large_binary(), len(ends), [None, pa.py_buffer(offsets), kept])
 
 
 PHRASES = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("words", pa.int32()), ("n", pa.int64())])
