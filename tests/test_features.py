@@ -5,7 +5,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
-from vintagemart.operators import checks, cleaning, features, trailing
+from vintagemart.operators import checks, cleaning, features, profiling, trailing
 from vintagemart.plans.inputs import Inputs
 from vintagemart.schemas import CLICK_FEATURES, FEATURE_KEY
 
@@ -62,6 +62,18 @@ def test_repeated_key_fails_the_query(spark, build):
         build(df).collect()
 
 
+@pytest.mark.parametrize("read", [
+    lambda gold: gold,
+    lambda gold: gold.select("snapshot_date", "has_full_clickstream_3m_history"),
+    lambda gold: gold.groupBy().count(),
+    profiling.history_availability,
+])
+def test_repeated_key_fails_whatever_is_read(spark, read):
+    df = clicks(spark, [("a", date(2024, 1, 1), 1), ("a", date(2024, 1, 1), 2)])
+    with pytest.raises(Exception, match="repeated"):
+        read(trailing.gold_clickstream(df)).collect()
+
+
 @pytest.mark.parametrize("months", [1, 2])
 def test_repeated_cohort_key_is_told_from_a_repeated_clickstream_key(spark, months):
     df = clicks(spark, [("a", date(2024, m + 1, 1), 1) for m in range(months)])
@@ -113,9 +125,12 @@ def test_duplicate_keys_group_nulls(spark):
 
 def test_row_parity(spark):
     a = spark.createDataFrame([(date(2024, 1, 1),), (date(2024, 2, 1),)], "snapshot_date date")
-    checks.require_row_parity(a, a, "t")
-    with pytest.raises(checks.CheckFailed, match="2024-02-01: anchor 1, joined 2"):
-        checks.require_row_parity(a, a.unionAll(a.filter("snapshot_date = date'2024-02-01'")), "t")
+    doubled = checks.row_parity(a, a.unionAll(a.filter("snapshot_date = date'2024-02-01'"))).orderBy("snapshot_date").collect()
+    assert [tuple(r)[1:] for r in doubled] == [(1, 1, 1), (1, 2, 0)]
+    counts = {date(2024, 1, 1): 1, date(2024, 2, 1): 1}
+    checks.require_row_parity(counts, dict(counts), "t")
+    with pytest.raises(checks.CheckFailed, match="None: anchor 0, joined 1; 2024-02-01: anchor 1, joined 2"):
+        checks.require_row_parity(counts, counts | {date(2024, 2, 1): 2, None: 1}, "t")
 
 
 def test_unmatched_keys_treat_null_as_unmatched(spark):

@@ -43,7 +43,8 @@ def trailing_window(clicks: DataFrame) -> DataFrame:
         *CLICK_FEATURES,
         F.count(F.lit(1)).over(span).alias("history_months"),
         *[F.avg(name).over(span).alias(raw) for name, raw in zip(CLICK_FEATURES, RAW_MEANS)],
-    )
+        # A filter, because a column that nobody reads is never computed.
+    ).filter("has_clickstream = 1")
 
 
 def trailing_for(keys: DataFrame, clicks: DataFrame) -> DataFrame:
