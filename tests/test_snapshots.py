@@ -144,6 +144,120 @@ def test_repeated_key_is_found_where_silver_is_written(spark, tmp_path):
         clean(mart, "attributes", months)
 
 
+def table_files(folder):
+    return {str(p.relative_to(folder)): p.read_bytes() for p in folder.rglob("*") if p.is_file()}
+
+
+def mart_of_two_months(spark, tmp_path):
+    """A good mart of two months, and sources in which February has a repeated key."""
+    months = months_between("2023-01-01", "2023-02-01")
+    mart = Mart(spark, str(tmp_path / "m"))
+    land(mart, "attributes", write_attributes(tmp_path / "a.csv", ["2023-01-01", "2023-02-01"]), months)
+    clean(mart, "attributes", months)
+    bad = tmp_path / "b.csv"
+    write_attributes(bad, ["2023-01-01", "2023-02-01"])
+    bad.write_text(bad.read_text() + "C1,n,31,1,y,2023-02-01\n")
+    return mart, months, str(bad)
+
+
+def test_failed_audit_of_silver_leaves_every_file_as_it_was(spark, tmp_path):
+    mart, months, bad = mart_of_two_months(spark, tmp_path)
+    land(mart, "attributes", bad, months)
+    before, shown = table_files(tmp_path / "m" / "silver"), rows(mart.silver("attributes"))
+    with pytest.raises(checks.CheckFailed, match="1 repeated"):
+        clean(mart, "attributes", months)
+    # January would have been right, but a run is shown whole or not at all.
+    assert table_files(tmp_path / "m" / "silver") == before
+    assert rows(Mart(spark, mart.root).silver("attributes")) == shown
+
+
+def test_failed_audit_of_the_store_leaves_every_file_as_it_was(spark, feeds, tmp_path):
+    mart = Mart(spark, str(tmp_path / "m"))
+    backfill_features(mart, feature_feeds(feeds), "2023-01-01", "2023-02-01")
+    before, shown, coverage = table_files(tmp_path / "m" / "gold"), rows(mart.feature_store()), mart.coverage
+    silver = mart.silver("financials", ["2023-02-01"])
+    mart.write("silver", "financials", written(silver.unionAll(silver.limit(1)), "doubled"), [])
+    with pytest.raises(checks.CheckFailed, match="2023-02-01"):
+        build_feature_store(mart, months_between("2023-01-01", "2023-02-01"))
+    assert table_files(tmp_path / "m" / "gold") == before
+    assert rows(mart.feature_store()) == shown and mart.coverage == coverage
+
+
+def test_run_killed_between_staging_and_publishing(spark, tmp_path, monkeypatch):
+    mart, months, _ = mart_of_two_months(spark, tmp_path)
+    shown = rows(mart.silver("attributes"))
+    better = write_attributes(tmp_path / "c.csv", ["2023-01-01", "2023-02-01", "2023-02-01"])
+    land(mart, "attributes", better, months)
+
+    def killed(*_, **__):
+        raise SystemExit
+
+    monkeypatch.setattr(backfill, "publish", killed)
+    with pytest.raises(SystemExit):
+        clean(mart, "attributes", months)
+    monkeypatch.undo()
+    path = mart.path("silver", "attributes")
+    # What was staged is there, nobody sees it, and it can be taken away or done again.
+    assert rows(mart.silver("attributes")) == shown
+    assert S.remove_unshown(spark, path) == []
+    assert len(S.remove_unshown(spark, path, older_than_hours=-1)) == 2
+    assert rows(mart.silver("attributes")) == shown
+    clean(mart, "attributes", months)
+    assert mart.silver("attributes").count() == 3
+
+
+def test_months_of_a_run_become_visible_together(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = spark.createDataFrame([(i, date(2024, 1 + i % 3, 1)) for i in range(30)], "v int, snapshot_date date")
+    S.write_snapshots(df, path)
+    staged = S.stage_snapshots(df.filter("v < 15"), path, ["2024-01-01", "2024-02-01", "2024-03-01"])
+    assert staged.rows_by_month == {date(2024, m, 1): 5 for m in (1, 2, 3)}
+    assert rows(staged.rows(spark)) == rows(df.filter("v < 15"))
+    assert rows(S.read_snapshots(spark, path, df.schema)) == rows(df)
+    S.publish(spark, staged)
+    assert rows(S.read_snapshots(spark, path, df.schema)) == rows(df.filter("v < 15"))
+    assert S.rows_by_month(spark, path) == staged.rows_by_month
+
+
+def test_two_runs_publishing_at_once_both_count(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = spark.createDataFrame([(i, date(2024, 1 + i % 2, 1)) for i in range(4)], "v int, snapshot_date date")
+    one, two = (S.stage_snapshots(df.filter(f"month(snapshot_date) = {m}"), path) for m in (1, 2))
+    seen = []
+
+    def late(shown):
+        # While this run decides, another one publishes.
+        if not seen:
+            seen.append(S.publish(spark, two))
+        return shown | one.shown
+
+    S.pointer.change(spark, path, late)
+    assert rows(S.read_snapshots(spark, path, df.schema)) == rows(df)
+
+
+@pytest.mark.parametrize("fmt", S.FORMATS)
+def test_rows_of_months_nobody_named_are_counted(spark, tmp_path, fmt):
+    path = str(tmp_path / "t")
+    df = spark.createDataFrame([(1, "2024-01-01"), (2, "2024-02-01"), (3, None), (4, None)], "v int, snapshot_date string")
+    assert S.write_snapshots(df, path, ["2024-01-01"], fmt=fmt) == S.Written(4, months_between("2024-01-01", "2024-02-01"))
+    assert S.rows_by_month(spark, path) == {date(2024, 1, 1): 1, date(2024, 2, 1): 1, None: 2}
+    assert sorted(r.v for r in S.read_snapshots(spark, path, df.schema, fmt=fmt).collect()) == [1, 2, 3, 4]
+
+
+def test_audit_reads_neither_bronze_nor_the_values_of_silver(spark, tmp_path, monkeypatch):
+    """Parity goes by the counts of the writes: bronze is gone when silver is audited."""
+    mart, months, _ = mart_of_two_months(spark, tmp_path)
+    land(mart, "attributes", write_attributes(tmp_path / "c.csv", ["2023-01-01", "2023-02-01"]), months)
+    real = backfill.checks.require_row_parity
+
+    def without_bronze(*args):
+        discard(spark, mart.path("bronze", "attributes"))
+        real(*args)
+
+    monkeypatch.setattr(backfill.checks, "require_row_parity", without_bronze)
+    assert clean(mart, "attributes", months).rows == 2
+
+
 def test_decimal_points_in_whole_ledger_columns(spark, tmp_path):
     path = tmp_path / "loans.csv"
     path.write_text(",".join(f.name for f in LEDGER) + "\nL1,C1,2023-01-01,10.0,6.0,1000,100,0,150,0,2023-07-01\n")

@@ -8,12 +8,13 @@ are counted (frequencies, examples, distinct values), that is a second scan.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import is_missing_text
 from ..schemas import FEATURE_KEY
-from .checks import key_sides, row_parity
+from .checks import key_sides
 from .ordered import GROUP, VALUE, unpivot
 from .rules import RAW_PREFIX
 
@@ -103,18 +104,17 @@ def profile_snapshot_table(df: DataFrame, name: str) -> DataFrame:
     )
 
 
-def row_preservation(raw: DataFrame, clean: DataFrame, name: str, by: str = "snapshot_date") -> DataFrame:
-    """Per month, rows of a written table before and after cleaning, and whether none was lost.
+def row_preservation(raw: Mapping[date | None, int], clean: DataFrame, name: str, by: str = "snapshot_date") -> DataFrame:
+    """Per month, rows a table had before cleaning, as its write counted them, and after, and whether none was lost.
 
     Rows whose month became NULL are a month of their own, so they count as lost.
     """
-    counts = row_parity(raw, clean, by)
+    counted = clean.sparkSession.createDataFrame(list(raw.items()), f"{by} date, raw_rows long")
+    found = clean.groupBy(by).agg(F.count(F.lit(1)).alias("clean_rows"))
+    both = counted.unionByName(found, allowMissingColumns=True).groupBy(by)
+    counts = both.agg(*[F.coalesce(F.max(c), F.lit(0)).alias(c) for c in ("raw_rows", "clean_rows")])
     return counts.select(
-        F.lit(name).alias("table"),
-        by,
-        F.col("anchor_rows").alias("raw_rows"),
-        F.col("joined_rows").alias("clean_rows"),
-        F.col("matches").alias("preserved"),
+        F.lit(name).alias("table"), by, "raw_rows", "clean_rows", (F.col("raw_rows") == F.col("clean_rows")).cast("int").alias("preserved")
     )
 
 

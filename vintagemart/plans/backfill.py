@@ -4,6 +4,10 @@ Each layer of a feed is one job over all months of the run: one scan of the
 source, a projection, and one partitioned write.  Layers hand over through
 tables, so a lost executor costs its tasks only and any layer can be re-run.
 An incremental run is the same call with a shorter range.
+
+Every layer is staged, audited and then published.  A failed audit publishes
+nothing, so what readers see is always what passed; the months of a layer
+become visible together.
 """
 
 from __future__ import annotations
@@ -20,11 +24,15 @@ from ..schemas import FEEDS
 from ..sources.calendar import day_of, months_between, slice_months, trailing_months
 from ..sources.snapshots import (
     PARTITION,
+    Staged,
     Written,
+    discard_staged,
+    publish,
     read_feed,
     read_snapshots,
+    rows_by_month,
     snapshots_present,
-    write_snapshots,
+    stage_snapshots,
 )
 
 SILVER: dict[str, Callable[[DataFrame], DataFrame]] = {
@@ -54,12 +62,35 @@ class Mart:
     def path(self, layer: str, table: str) -> str:
         return f"{self.root.rstrip('/')}/{layer}/{table}"
 
-    def write(self, layer: str, table: str, df: DataFrame, months, **how) -> Written:
-        done = write_snapshots(df, self.path(layer, table), months, **how)
+    def write(
+        self,
+        layer: str,
+        table: str,
+        df: DataFrame,
+        months,
+        *,
+        fmt: str = "parquet",
+        gather: bool = False,
+        audit: Callable[[Staged], None] | None = None,
+    ) -> Written:
+        """Stage the rows, audit what was staged, and publish it; a failed audit leaves the table as it was."""
+        staged = stage_snapshots(df, self.path(layer, table), months, fmt=fmt, gather=gather)
+        if audit is not None:
+            try:
+                audit(staged)
+            except Exception:
+                discard_staged(self.spark, staged)
+                raise
+        done = publish(self.spark, staged)
         self.written[f"{layer}/{table}"] = done
         self.schemas[f"{layer}/{table}"] = df.schema
         return done
 
+    def rows(self, layer: str, table: str, months) -> dict[date | None, int]:
+        """Rows of the given months, as counted by those who wrote them."""
+        found = rows_by_month(self.spark, self.path(layer, table))
+        return {m: found[m] for m in months if m in found}
+
     def _read(self, layer: str, table: str, months) -> DataFrame:
         name = f"{layer}/{table}"
         if name not in self.schemas:
@@ -121,18 +152,18 @@ def land_snapshot(mart: Mart, table: str, source: str, month: str | date) -> Wri
 def clean(mart: Mart, table: str, months: list[date]) -> Written:
     """Silver: every bronze row of the given months, typed and cleaned.
 
-    What was written is read back: every month must have the rows of its bronze
-    snapshot, whoever landed that, and feature tables must have their grain.
+    Before it is shown, every month must have the rows of its bronze snapshot,
+    whoever landed that, and feature tables must have their grain.  The rows were counted
+    by the two writes; only the keys of what was staged are read again.
     """
-    done = mart.write("silver", table, SILVER[table](mart.bronze(table, months)), months)
-    if snapshots_present(mart.spark, mart.path("bronze", table)):
-        landed = mart.bronze(table, months)
-        landed = landed.select(day_of(landed).alias(PARTITION))
-        clean_ = mart.silver(table, months) if snapshots_present(mart.spark, mart.path("silver", table)) else landed.limit(0)
-        checks.require_row_parity(landed, clean_.select(PARTITION), f"silver {table}")
-        if table != "loan_daily" and clean_.columns != [PARTITION]:
-            checks.require_unique(clean_, f"silver {table}")
-    return done
+    landed = mart.rows("bronze", table, months)
+
+    def audit(staged: Staged) -> None:
+        checks.require_row_parity(landed, staged.rows_by_month, f"silver {table}")
+        if table != "loan_daily" and staged.shown:
+            checks.require_unique(staged.rows(mart.spark), f"silver {table}")
+
+    return mart.write("silver", table, SILVER[table](mart.bronze(table, months)), months, audit=audit)
 
 
 def backfill_labels(
@@ -157,9 +188,9 @@ def build_feature_store(mart: Mart, months: list[date]) -> Written:
 
     Attributes and financials must have every month.  Clickstream may lack any:
     its features are then NULL, and months before the range that exist are read
-    as history.  The silver tables have their grain, which was proved when they
-    were written, and the joins are on unique keys; so the store has the rows of
-    its anchor, which is checked on what was written.
+    as history.  The silver tables have their grain, which was proved before they
+    were published, and the joins are on unique keys; so the store must have the rows of
+    its anchor, by the counts of the two writes, before it is published.
     """
     for table in REQUIRED:
         present = snapshots_present(mart.spark, mart.path("silver", table))
@@ -172,9 +203,12 @@ def build_feature_store(mart: Mart, months: list[date]) -> Written:
     # Coverage is counted by the job that writes.
     seen = Observation()
     store = store.observe(seen, *[F.coalesce(F.sum(flag), F.lit(0)).alias(name) for flag, name in features.COVERAGE_TOTALS.items()])
-    done = mart.write("gold", "feature_store", store, months, gather=True)
+    anchor = mart.rows("silver", "attributes", months)
+    done = mart.write(
+        "gold", "feature_store", store, months, gather=True,
+        audit=lambda staged: checks.require_row_parity(anchor, staged.rows_by_month, "feature store"),
+    )
     mart.coverage = dict(seen.get)
-    checks.require_row_parity(attributes, mart.feature_store(months), "feature store")
     return done
 
 

@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, functions as F
 from ..operators import association, audits, checks, cleaning, features, ordered, profiling
 from ..operators.rules import Rule, apply_rules
 from ..schemas import CLICK_FEATURES, FEATURE_KEY, FEEDS
-from ..sources.calendar import day_of
 from ..sources.scratch import scratch_path
 from ..sources.snapshots import snapshots_present
 from . import oracle as O
@@ -507,15 +506,14 @@ def cleaned_income_nulls(x: Inputs) -> DataFrame:
     ),
 )
 def row_preservation(x: Inputs) -> DataFrame:
-    """Every month of every feed, landed and cleaned; both written tables are counted."""
+    """Every month of every feed, landed and cleaned: what the bronze write counted against the silver rows."""
     mart = Mart(x.spark, scratch_path(x.spark, "mart"))
     frames = []
     for t in FEEDS:
         mart.write("bronze", t, x.feed(t), [], gather=True)
-        clean(mart, t, snapshots_present(x.spark, mart.path("bronze", t)))
-        bronze = mart.bronze(t)
-        landed = bronze.select(day_of(bronze).alias("snapshot_date"))
-        frames.append(profiling.row_preservation(landed, mart.silver(t), t))
+        months = snapshots_present(x.spark, mart.path("bronze", t))
+        clean(mart, t, months)
+        frames.append(profiling.row_preservation(mart.rows("bronze", t, months), mart.silver(t), t))
     return reduce(DataFrame.unionByName, frames)
 
 

@@ -1,21 +1,28 @@
 """Feed sources, and snapshot tables partitioned by month.
 
-A table is one Hive-partitioned dataset, ``<path>/snapshot_date=2023-01-01/``.
-Writing replaces the months it is given and leaves the others alone; reading a
-few months touches only their partitions.
+A run writes its months beside what is there, ``<path>/data/run=<name>/snapshot_date=2023-01-01/``,
+where nobody reads them.  What was staged can be checked and then either be published or be thrown
+away.  Publishing is one small file that names the run of every month (see ``pointer``): the
+months of a run become visible together, other months stay as they are, and a run that
+fails or dies before that has changed nothing.  The file also holds the rows of every month,
+counted by the job that wrote them.  Reading a few months touches only their partitions.
 """
 
 from __future__ import annotations
 
+import time
+import uuid
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
 from datetime import date
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from ..functions import only_if, typed
+from . import pointer
 from .calendar import day_of, parse_day, slice_months
 from .scratch import discard
 
@@ -71,27 +78,41 @@ class Written:
     emptied: list[date] = field(default_factory=list)
 
 
-def write_snapshots(
-    df: DataFrame,
-    path: str,
-    months: Iterable[str | date] = (),
-    *,
-    fmt: str = "parquet",
-    gather: bool = False,
-    drop_emptied: bool = False,
-) -> Written:
-    """Replace the snapshots the rows belong to; other months stay as they are.
+@dataclass(frozen=True)
+class Staged:
+    """A run whose rows are written and not yet shown."""
+
+    path: str
+    run: str
+    fmt: str
+    schema: StructType
+    shown: dict[str, pointer.Shown]
+    asked: list[date]
+
+    @property
+    def rows_by_month(self) -> dict[date | None, int]:
+        return _by_day(self.shown)
+
+    def rows(self, spark: SparkSession) -> DataFrame:
+        """The staged rows, for checks before they are published."""
+        return _read(spark, self.path, self.schema, self.shown.values(), self.fmt)
+
+
+def stage_snapshots(
+    df: DataFrame, path: str, months: Iterable[str | date] = (), *, fmt: str = "parquet", gather: bool = False
+) -> Staged:
+    """Write the rows by month to a run of their own; readers do not see it.
 
     ``gather`` first brings the rows of a month together.  It is a rebalance, not
     a plain repartition: a month with a large share of the rows is split over
     several tasks and small ones share one, so files have an even size.  Leave it
     off for rows that come from a table already laid out by month.
 
-    ``months`` are the months this run is about.  Those without rows are reported;
-    an older snapshot of theirs stays, unless ``drop_emptied`` asks for its removal.
-    A month that is not a date fails the write before it changes anything.
+    ``months`` are the months this run is about; the rows of each are counted by the stage that
+    writes.  A month that is not a date fails the write.
     """
-    spark = df.sparkSession
+    spark, schema = df.sparkSession, df.schema
+    asked = sorted({parse_day(m) for m in months})
     day, month = day_of(df, PARTITION), F.col(PARTITION)
     df = df.withColumn(PARTITION, only_if(month.isNull() | day.isNotNull(), "a snapshot month is not a date", month))
     if gather:
@@ -101,32 +122,108 @@ def write_snapshots(
     counted = df.observe(
         seen,
         F.count(F.lit(1)).alias("rows"),
-        F.collect_set(day.cast("string")).alias("months"),
+        F.count_if(day.isNull()).alias("no_month"),
+        *[F.count_if(day == F.lit(m)).alias(m.isoformat()) for m in asked],
     )
-    writer = counted.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy(PARTITION).format(fmt).options(**_options(fmt)).save(path)
-    found = sorted(parse_day(m) for m in seen.get["months"])
-    emptied = sorted({parse_day(m) for m in months} - set(found))
-    if drop_emptied:
-        for gone in set(emptied) & set(snapshots_present(spark, path)):
-            discard(spark, f"{path}/{PARTITION}={gone.isoformat()}")
-    return Written(seen.get["rows"], found, emptied)
+    run = f"r{uuid.uuid4().hex}"
+    folder = f"{path}/data/run={run}"
+    counted.write.partitionBy(PARTITION).format(fmt).options(**_options(fmt)).save(folder)
+    folders: dict[str, list[str]] = {}
+    for name in pointer.names_below(spark, folder):
+        if name.startswith(f"{PARTITION}="):
+            folders.setdefault(_month_of(name), []).append(name)
+    found = seen.get
+    counts = {m.isoformat(): found[m.isoformat()] for m in asked} | {"": found["no_month"]}
+    if sum(counts.values()) != found["rows"]:
+        # Rows of months nobody named: counted in what was written, from the partitions alone.
+        whole = _read(spark, path, schema, [pointer.Shown(run, sorted(sum(folders.values(), [])), 0)], fmt)
+        days = whole.groupBy(day_of(whole, PARTITION).cast("string").alias("day")).count().collect()
+        counts = {r.day or "": r["count"] for r in days}
+    shown = {m: pointer.Shown(run, sorted(names), counts[m]) for m, names in folders.items()}
+    return Staged(path, run, fmt, schema, shown, asked)
+
+
+def publish(spark: SparkSession, staged: Staged, *, drop_emptied: bool = False) -> Written:
+    """Show the staged months in place of older ones, all of them at once.
+
+    Months the run was about that have no rows are reported; an older snapshot of
+    theirs stays, unless ``drop_emptied`` asks for its removal.
+    """
+    found = {m for m in staged.rows_by_month if m is not None}
+    emptied = sorted(set(staged.asked) - found)
+
+    def new(shown: dict[str, pointer.Shown]) -> dict[str, pointer.Shown]:
+        gone = {m.isoformat() for m in emptied} if drop_emptied else set()
+        return {m: s for m, s in shown.items() if m not in gone} | staged.shown
+
+    pointer.change(spark, staged.path, new)
+    return Written(sum(s.rows for s in staged.shown.values()), sorted(found), emptied)
 
 
-def _folder(spark: SparkSession, path: str):
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
+def discard_staged(spark: SparkSession, staged: Staged) -> None:
+    """Throw a run away that will not be published."""
+    discard(spark, f"{staged.path}/data/run={staged.run}")
+
+
+def write_snapshots(
+    df: DataFrame,
+    path: str,
+    months: Iterable[str | date] = (),
+    *,
+    fmt: str = "parquet",
+    gather: bool = False,
+    drop_emptied: bool = False,
+) -> Written:
+    """Replace the snapshots the rows belong to, unchecked; other months stay as they are."""
+    return publish(df.sparkSession, stage_snapshots(df, path, months, fmt=fmt, gather=gather), drop_emptied=drop_emptied)
+
+
+def remove_unshown(spark: SparkSession, path: str, *, older_than_hours: float = 24) -> list[str]:
+    """Remove months of runs that were replaced, and runs that were never published.
+
+    Folders younger than the given age stay, since a run may still be at work on them
+    and a reader may have them open.  Returns what was removed, as ``run/month`` folders.
+    """
+    _, shown = pointer.current(spark, path)
+    kept = {f"run={s.run}/{folder}" for s in shown.values() for folder in s.folders}
+    before = (time.time() - older_than_hours * 3600) * 1000
+    removed = []
+    for run in pointer.names_below(spark, f"{path}/data"):
+        folder, files = pointer.file_system(spark, f"{path}/data/{run}")
+        for status in files.listStatus(folder):
+            name = f"{run}/{status.getPath().getName()}"
+            if status.isDirectory() and name not in kept and status.getModificationTime() <= before:
+                discard(spark, f"{path}/data/{name}")
+                removed.append(name)
+    return sorted(removed)
+
+
+def _month_of(folder: str) -> str:
+    """The month a partition folder holds; nothing for rows without one."""
+    name = unquote(folder.removeprefix(f"{PARTITION}="))
+    return "" if name == NO_DATE else parse_day(name.strip()).isoformat()
+
+
+def _by_day(shown: dict[str, pointer.Shown]) -> dict[date | None, int]:
+    return {parse_day(m) if m else None: s.rows for m, s in shown.items()}
+
+
+def _read(spark: SparkSession, path: str, schema: StructType, shown: Iterable[pointer.Shown], fmt: str) -> DataFrame:
+    folders = [f"{path}/data/run={s.run}/{folder}" for s in shown for folder in s.folders]
+    if not folders:
+        return spark.createDataFrame([], schema)
+    reader = spark.read.schema(schema).options(**_options(fmt)).option("basePath", f"{path}/data").format(fmt)
+    return reader.load(folders).select(*schema.names)
+
+
+def rows_by_month(spark: SparkSession, path: str) -> dict[date | None, int]:
+    """Rows of every month a table shows, as its writes counted them; no data is read."""
+    return _by_day(pointer.current(spark, path)[1])
 
 
 def snapshots_present(spark: SparkSession, path: str) -> list[date]:
-    """Months a table has, in order, from its partition folders; no data is read."""
-    folder, files = _folder(spark, path)
-    if not files.exists(folder):
-        return []
-    names = [status.getPath().getName() for status in files.listStatus(folder) if status.isDirectory()]
-    prefix = PARTITION + "="
-    days = [name[len(prefix):] for name in names if name.startswith(prefix)]
-    return sorted(parse_day(d) for d in days if d != NO_DATE)
+    """Months a table shows, in order; no data is read."""
+    return sorted(m for m in rows_by_month(spark, path) if m is not None)
 
 
 def read_snapshots(
@@ -142,15 +239,13 @@ def read_snapshots(
     Asking for everything in a table without a snapshot is an error; asking for
     months that do not exist gives no rows.
     """
-    if not snapshots_present(spark, path):
-        if months is None:
-            raise NoSnapshots(f"no snapshots in {path}")
-        return spark.createDataFrame([], schema)
-    df = spark.read.schema(schema).options(**_options(fmt)).format(fmt).load(path)
-    df = df.select(*schema.names)
+    _, shown = pointer.current(spark, path)
     if months is None:
-        return df
-    return slice_months(df, months)
+        if not shown:
+            raise NoSnapshots(f"no snapshots in {path}")
+        return _read(spark, path, schema, shown.values(), fmt)
+    wanted = sorted({parse_day(m).isoformat() for m in months} & set(shown))
+    return slice_months(_read(spark, path, schema, [shown[m] for m in wanted], fmt), months)
 
 
 def read_snapshot(
