@@ -5,6 +5,7 @@ import random
 
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from vintagemart.operators import association, ordered, profiling
 from vintagemart.operators.rules import Rule, apply_rules
@@ -153,7 +154,48 @@ def test_text_profile(spark):
 def test_a_lost_month_shows(spark):
     from datetime import date
 
-    raw = spark.createDataFrame([(date(2024, 1, 1),), (date(2024, 2, 1),)], "snapshot_date date")
+    raw = {date(2024, 1, 1): 1, date(2024, 2, 1): 1}
     clean = spark.createDataFrame([(date(2024, 1, 1),), (None,)], "snapshot_date date")
     got = {r.snapshot_date: (r.raw_rows, r.clean_rows, r.preserved) for r in profiling.row_preservation(raw, clean, "t").collect()}
     assert got == {date(2024, 1, 1): (1, 1, 1), date(2024, 2, 1): (1, 0, 0), None: (0, 1, 0)}
+
+
+def spread_of(df, columns):
+    found = profiling.per_column_with_quantiles(
+        df,
+        columns,
+        {
+            "n": profiling.rows_with(lambda c: F.col(c).isNotNull()),
+            "mean": profiling.moments(lambda m: F.when(m["n"] > 0, m["mean"])),
+            "stddev": profiling.moments(lambda m: F.when(m["n"] > 1, F.sqrt(m["m2"] / (m["n"] - 1)))),
+        },
+        {"p01": 0.01, "p50": 0.5, "p99": 0.99},
+    )
+    return {r["column"]: r for r in found.collect()}
+
+
+def test_quantiles_and_moments_do_not_depend_on_the_tasks(spark):
+    """Far more tasks than a step merges at once, some of them without rows."""
+    df = spark.range(4000).select((1e6 + F.col("id") * 7 % 4001).alias("a"), F.when(F.col("id") % 3 == 0, -F.col("id")).alias("b"))
+    want = df.agg(*[f(c).alias(f"{c}_{f.__name__}") for c in "ab" for f in (F.avg, F.stddev_samp)]).first()
+    exact = {c: df.agg(F.percentile_approx(F.col(c).cast("double"), [0.01, 0.5, 0.99], 1_000_000)).first()[0] for c in "ab"}
+    for tasks in (1, 150):
+        found = spread_of(df.repartition(tasks).unionAll(df.limit(0)), ["a", "b"])
+        for c in "ab":
+            assert [found[c][p] for p in ("p01", "p50", "p99")] == exact[c]
+            assert found[c].mean == pytest.approx(want[f"{c}_avg"], rel=1e-12)
+            assert found[c].stddev == pytest.approx(want[f"{c}_stddev_samp"], rel=1e-9)
+        assert (found["a"].n, found["b"].n) == (4000, 1334)
+
+
+def test_quantiles_beyond_the_exact_size_are_within_the_accuracy(spark):
+    found = spread_of(spark.range(0, 400_000, 1, 16).select(F.col("id").cast("double").alias("a")), ["a"])["a"]
+    for p, share in (("p01", 0.01), ("p50", 0.5), ("p99", 0.99)):
+        assert abs(found[p] / 400_000 - share) < 5 / profiling.ACCURACY
+
+
+def test_quantiles_of_no_rows(spark):
+    df = spark.createDataFrame([(None,)], "a double")
+    for empty in (df, df.limit(0)):
+        found = spread_of(empty, ["a"])["a"]
+        assert (found.n, found.mean, found.stddev, found.p01, found.p50, found.p99) == (0, None, None, None, None, None)

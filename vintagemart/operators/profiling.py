@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from datetime import date
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -18,9 +19,14 @@ from .checks import key_sides
 from .ordered import GROUP, VALUE, unpivot
 from .rules import RAW_PREFIX
 
-# Quantiles are exact up to so many rows per column, and off by at most that share of the rows
-# beyond; a task holds a summary of about this many values per column.
-ACCURACY = 1_000_000
+# Quantiles are off by about one in so many rows, as with the built-in ones; they are exact for columns
+# of up to ``SKETCH_SIZE`` rows.  A sketch of that size holds a megabyte at most, whatever it has seen.
+ACCURACY = 10_000
+SKETCH_SIZE = 65_535
+
+# Summaries of tasks are merged in so many groups, those in fewer, and so on; no group merges more than
+# 32 of the step before, up to a million tasks.
+MERGE_GROUPS = (32_768, 1024, 32, 1)
 
 # The forms numeric text may have.
 NUMBER = r"^-?\d+(\.\d+)?$"
@@ -261,24 +267,83 @@ def rows_changed(both: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 # Numbers
 
-def quantiles(value: Column, probabilities: Mapping[str, float], accuracy: int = ACCURACY) -> Column:
-    """Discrete quantiles of a column as one array, in the order of the probabilities."""
-    return F.percentile_approx(value, list(probabilities.values()), accuracy)
+class Merged(NamedTuple):
+    """A metric in steps: of the rows of a task, of several such parts, and what is shown of it."""
+
+    part: Metric
+    whole: Callable[[Column], Column]
+    shown: Callable[[Column], Column] = lambda found: found
+
+
+def least(value: Metric) -> Merged:
+    return Merged(lambda c: F.min(value(c)), F.min)
+
+
+def most(value: Metric) -> Merged:
+    return Merged(lambda c: F.max(value(c)), F.max)
+
+
+def rows_with(condition: Metric) -> Merged:
+    return Merged(lambda c: rows_where(condition(c)), F.sum)
+
+
+def moments(shown: Callable[[Column], Column]) -> Merged:
+    """Number, mean and sum of squared deviations, of which ``shown`` makes the metric."""
+
+    def part(c: str) -> Column:
+        mean, deviation = F.coalesce(F.avg(c), F.lit(0.0)), F.coalesce(F.var_pop(c) * F.count(c), F.lit(0.0))
+        return F.struct(F.count(c).cast("double").alias("n"), mean.alias("mean"), deviation.alias("m2"))
+
+    def both(a: Column, b: Column) -> Column:
+        n, apart = a["n"] + b["n"], b["mean"] - a["mean"]
+        share = F.when(n > 0, b["n"] / n).otherwise(0.0)
+        return F.struct(
+            n.alias("n"), (a["mean"] + apart * share).alias("mean"), (a["m2"] + b["m2"] + apart * apart * a["n"] * share).alias("m2")
+        )
+
+    nothing = F.struct(*[F.lit(0.0).alias(name) for name in ("n", "mean", "m2")])
+    return Merged(part, lambda found: F.reduce(F.collect_list(found), nothing, both), shown)
+
+
+def sketch(value: Metric, accuracy: int = ACCURACY) -> Merged:
+    """A sketch of a column's numbers; NaN is not a number."""
+    size = min(65_535, max(8, round(SKETCH_SIZE * accuracy / ACCURACY)))
+    return Merged(lambda c: F.kll_sketch_agg_double(value(c).cast("double"), size), F.kll_merge_agg_double)
+
+
+def quantile(found: Column, share: float) -> Column:
+    """A discrete quantile of a sketch; NULL where it has seen no number."""
+    return F.when(F.kll_sketch_get_n_double(found) > 0, F.kll_sketch_get_quantile_double(found, F.lit(share)))
 
 
 def per_column_with_quantiles(
     df: DataFrame,
     columns: Sequence[str],
-    metrics: Mapping[str, Metric],
+    metrics: Mapping[str, Merged],
     probabilities: Mapping[str, float],
     value: Metric = F.col,
     accuracy: int = ACCURACY,
 ) -> DataFrame:
-    """``per_column`` with named quantiles beside the metrics, in the same pass."""
-    shares = {"quantiles": lambda c: quantiles(value(c).cast("double"), probabilities, accuracy)}
-    found = per_column(df, columns, {**metrics, **shares})
-    named = [F.get("quantiles", F.lit(i)).alias(name) for i, name in enumerate(probabilities)]
-    return found.select("*", *named).drop("quantiles")
+    """One row per column with the given metrics and named quantiles, in a single pass.
+
+    A task makes one summary of all columns.  Summaries are merged in a tree, column by column,
+    so that the last step has a few of them, however many tasks there were.
+    """
+    steps = {**metrics, "sketch": sketch(value, accuracy)}
+    rows = F.array(*[F.struct(F.lit(c).alias(GROUP), *[m.part(c).alias(name) for name, m in steps.items()]) for c in columns])
+    first, *later = MERGE_GROUPS
+    tasks = df.withColumn("_task", F.spark_partition_id() % first).groupBy("_task").agg(rows.alias("rows"))
+    # A table without rows has its summaries too.
+    tasks = tasks.unionByName(df.where(F.lit(False)).agg(rows.alias("rows")).withColumn("_task", F.lit(0)))
+    parts = tasks.select("_task", F.inline("rows"))
+    for groups in later:
+        merged = [m.whole(F.col(name)).alias(name) for name, m in steps.items()]
+        parts = parts.groupBy(GROUP, (F.col("_task") % groups).alias("_task")).agg(*merged)
+    return parts.select(
+        GROUP,
+        *[m.shown(F.col(name)).alias(name) for name, m in metrics.items()],
+        *[quantile(F.col("sketch"), share).alias(name) for name, share in probabilities.items()],
+    )
 
 
 def value_spread(df: DataFrame, columns: Sequence[str], probabilities: Mapping[str, float]) -> DataFrame:
@@ -287,9 +352,9 @@ def value_spread(df: DataFrame, columns: Sequence[str], probabilities: Mapping[s
         df,
         columns,
         {
-            "min": lambda c: F.min(F.col(c).cast("double")),
-            "max": lambda c: F.max(F.col(c).cast("double")),
-            "negative_rows": lambda c: rows_where(F.col(c) < 0),
+            "min": least(lambda c: F.col(c).cast("double")),
+            "max": most(lambda c: F.col(c).cast("double")),
+            "negative_rows": rows_with(lambda c: F.col(c) < 0),
         },
         probabilities,
     )
@@ -309,11 +374,11 @@ def parse_profile(raw: DataFrame, columns: Sequence[str]) -> DataFrame:
         raw,
         columns,
         {
-            "non_numeric_count": lambda c: rows_where((F.trim(c) != "") & number(c).isNull()),
-            "min": lambda c: F.min(number(c)),
-            "max": lambda c: F.max(number(c)),
-            "negative_count": lambda c: rows_where(number(c) < 0),
-            "zero_count": lambda c: rows_where(number(c) == 0),
+            "non_numeric_count": rows_with(lambda c: (F.trim(c) != "") & number(c).isNull()),
+            "min": least(number),
+            "max": most(number),
+            "negative_count": rows_with(lambda c: number(c) < 0),
+            "zero_count": rows_with(lambda c: number(c) == 0),
         },
         {"p01": 0.01, "median": 0.5, "p99": 0.99},
         number,
@@ -334,11 +399,11 @@ def derived_summary(df: DataFrame, columns: Sequence[str], digits: int = 6) -> D
         df,
         columns,
         {
-            "count": lambda c: F.count(c),
-            "mean": lambda c: F.round(F.avg(c), digits),
-            "stddev": lambda c: F.round(F.stddev_samp(c), digits),
-            "min": lambda c: F.min(c),
-            "max": lambda c: F.max(c),
+            "count": rows_with(lambda c: F.col(c).isNotNull()),
+            "mean": moments(lambda m: F.when(m["n"] > 0, F.round(m["mean"], digits))),
+            "stddev": moments(lambda m: F.when(m["n"] > 1, F.round(F.sqrt(m["m2"] / (m["n"] - 1)), digits))),
+            "min": least(F.col),
+            "max": most(F.col),
         },
         {"p25": 0.25, "p50": 0.5, "p75": 0.75},
     )
