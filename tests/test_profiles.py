@@ -37,10 +37,10 @@ def test_quantiles_are_exact(spark, values):
         assert [got[n] for n in "abcde"] == [disc(vs, p) for p in (0.01, 0.25, 0.5, 0.95, 0.99)], column
 
 
-@pytest.mark.parametrize("ranges", [2, 7, ordered.RANGES])
-def test_gaps_are_stitched_over_ranges(spark, values, ranges):
+@pytest.mark.parametrize("range_values", [1, 7, ordered.RANGE_VALUES])
+def test_gaps_are_stitched_over_ranges(spark, values, range_values):
     counted = ordered.count_values(long(spark, values))
-    gaps = {(r["column"], r["value"]): r.gap for r in ordered.value_gaps(counted, ranges).collect()}
+    gaps = {(r["column"], r["value"]): r.gap for r in ordered.value_gaps(counted, range_values).collect()}
     for column, vs in values.items():
         distinct = sorted({v for v in vs if v is not None})
         assert gaps[(column, distinct[0])] is None
@@ -109,6 +109,59 @@ def test_duplicates_beyond_the_first(spark):
     assert profiling.exact_duplicate_rows(df.limit(0)).first()[0] == 0
 
 
+def test_equal_numbers_of_different_rows_are_no_duplicates(spark, monkeypatch):
+    """Numbers that tell nothing: every row is compared in full."""
+    df = spark.createDataFrame([(1, None), (None, "1"), (2, "x"), (2, "x"), (3, "x")], "a int, b string")
+    monkeypatch.setattr(profiling, "row_numbers", lambda columns: [F.lit(1).alias("_number"), F.lit(2).alias("_check")])
+    assert profiling.exact_duplicate_rows(df).first()[0] == 1
+    monkeypatch.undo()
+    monkeypatch.setattr(profiling, "BROADCAST_NUMBERS", 0)
+    assert profiling.exact_duplicate_rows(df).first()[0] == 1
+
+
+def test_row_numbers_see_nulls_and_order(spark):
+    df = spark.createDataFrame([("a", None), (None, "a"), ("a", "a"), (None, None), ("", None)], "a string, b string")
+    assert df.select(*profiling.row_numbers(["a", "b"])).distinct().count() == 5
+
+
+def test_only_two_numbers_of_a_row_are_shuffled(spark, tmp_path):
+    df = spark.range(1000).select(*[F.concat_ws("-", F.lit("x" * 200), "id").alias(f"c{i}") for i in range(30)])
+    df.write.parquet(str(tmp_path / "wide"))
+    plan = profiling.exact_duplicate_rows(spark.read.parquet(str(tmp_path / "wide")))._jdf.queryExecution().executedPlan().toString()
+    # Whole rows are met with the numbers where they are read; what is exchanged after that are repeated rows.
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def frequent(df, most):
+    return sorted(tuple(r) for r in profiling.most_frequent_values(df, most).select("column", "place", "value", "n_rows").collect())
+
+
+def test_frequent_values_are_proved_or_counted(spark, monkeypatch):
+    """A column with a few hot values among very many, and one whose values are all alike."""
+    hot = spark.range(60_000).select(F.lit("hot").alias("column"), F.when(F.col("id") % 10 < 6, F.concat(F.lit("h"), (F.col("id") % 10 % 3).cast("string")))
+                                     .otherwise(F.col("id").cast("string")).alias("value"))
+    flat = spark.range(300).select(F.lit("flat").alias("column"), (F.col("id") % 150).cast("string").alias("value"))
+    both = hot.unionAll(flat)
+    full = sorted(tuple(r) for r in profiling._counted_in_full(both, 3).select("column", "place", "value", "n_rows").collect())
+    counted = []
+    real = profiling._counted_in_full
+    monkeypatch.setattr(profiling, "_counted_in_full", lambda long, most: counted.extend(r[0] for r in long.select("column").distinct().collect()) or real(long, most))
+    assert frequent(both, 3) == full
+    # The hot column was proved without counting its values; of the flat one nothing can be proved.
+    assert counted == ["flat"]
+    counted.clear()
+    assert frequent(hot, 3) == full[-3:] and counted == []
+
+
+def test_distinct_numbers_are_bits(spark):
+    values = [0.0, -0.0, 1.0, 1.0, -1.0, 32768.0, 32769.0, 0.5, 1e300, float("nan"), float("nan"), float("inf"), None, 1048575.0, 1048576.0, -1048575.0]
+    df = spark.createDataFrame([("a", v) for v in values] + [("b", None)], "column string, value double")
+    found = {r["column"]: r.n_unique for r in profiling.distinct_numbers(df).collect()}
+    assert found == {"a": df.where("value is not null").distinct().count()}
+    many = spark.range(200_000).select(F.lit("a").alias("column"), (F.col("id") % 3000).cast("double").alias("value"))
+    assert profiling.distinct_numbers(many).first().n_unique == 3000
+
+
 def test_malformed_examples_keep_the_most_frequent(spark):
     texts = ["1", "_"] + [f"v{i}" for i in range(9) for _ in range(i)]
     df = spark.createDataFrame([(t, "2") for t in texts], "a string, b string")
@@ -120,7 +173,7 @@ def test_malformed_examples_keep_the_most_frequent(spark):
 
 def test_rank_limit_is_applied_before_the_exchange(spark):
     df = spark.createDataFrame([("x",)], "a string")
-    plan = profiling.malformed_numbers(df, ["a"])._jdf.queryExecution().executedPlan().toString()
+    plan = profiling._counted_in_full(ordered.unpivot(df, ["a"]), 5)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
 
 

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import is_missing_text
 from ..schemas import FEATURE_KEY
+from ..sources.scratch import written
 from .checks import key_sides
 from .ordered import GROUP, VALUE, unpivot
 from .rules import RAW_PREFIX
@@ -28,6 +29,15 @@ SKETCH_SIZE = 65_535
 # 32 of the step before, up to a million tasks.
 MERGE_GROUPS = (32_768, 1024, 32, 1)
 
+# Repeated row numbers, of 16 bytes, up to which they are sent to all tasks.
+BROADCAST_NUMBERS = 1_000_000
+
+# Items a task's summary of frequent values tracks, and candidates it names, per column.
+TRACKED, CANDIDATES = 10_000, 100
+
+# Whole numbers smaller than this, by size, are counted by bitmaps: 64 of 4 KB per column at most.
+WHOLE = 1 << 20
+
 # The forms numeric text may have.
 NUMBER = r"^-?\d+(\.\d+)?$"
 NUMBER_THEN_UNDERSCORES = r"^-?\d+(\.\d+)?_+$"
@@ -72,9 +82,25 @@ def profile_partitions(df: DataFrame, key: str, by: str = "snapshot_date") -> Da
     )
 
 
+def row_numbers(columns: Sequence[str]) -> list[Column]:
+    """Two independent 64-bit numbers of a row, which see NULLs and the order of columns."""
+    marked = [part for c in columns for part in (F.col(c).isNull(), F.col(c))]
+    return [F.xxhash64(*marked).alias("_number"), F.xxhash64(F.lit("second"), *reversed(marked)).alias("_check")]
+
+
 def exact_duplicate_rows(df: DataFrame) -> DataFrame:
-    """Rows beyond the first of each set of equal rows; 0 if there are none."""
-    copies = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("copies"))
+    """Rows beyond the first of each set of equal rows; 0 if there are none.
+
+    Only two numbers of each row are shuffled.  Rows whose numbers occur more than once are compared in
+    full, so that equal numbers of different rows count for nothing: their numbers go to the tasks if there are
+    few of them, else the rows go to the numbers.
+    """
+    numbered = df.select(*df.columns, *row_numbers(df.columns))
+    seen = numbered.groupBy("_number", "_check").agg(F.count(F.lit(1)).alias("n"))
+    repeated = written(seen.where("n > 1").select("_number", "_check"), "repeated_numbers")
+    few = repeated.count() <= BROADCAST_NUMBERS
+    again = numbered.join(F.broadcast(repeated) if few else repeated, ["_number", "_check"], "left_semi")
+    copies = again.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("copies"))
     return copies.agg(F.coalesce(F.sum(F.col("copies") - 1), F.lit(0)).alias("duplicate_rows"))
 
 
@@ -134,15 +160,57 @@ def missing_tokens(df: DataFrame) -> DataFrame:
 
 
 def malformed_numbers(df: DataFrame, columns: Sequence[str], examples: int = 5) -> DataFrame:
-    """The most frequent values per column that are not plain numbers, with their frequency.
+    """The most frequent values per column that are not plain numbers, with their frequency."""
+    return most_frequent_values(unpivot(df, columns).filter(~F.trim(VALUE).rlike(NUMBER)), examples)
 
-    Values are counted before they are ranked, and the rank limit is applied in
-    every task before rows are brought together.
+
+def most_frequent_values(long: DataFrame, most_values: int, tracked: int = TRACKED) -> DataFrame:
+    """The most frequent (column, value) rows: (column, value, n_rows, place), ties by value; exact.
+
+    Tasks summarise their values in sketches of ``tracked`` items, which name candidates; a second scan
+    counts the candidates.  A value that is no candidate occurs at most so often as the sketch may be off, or
+    as the last candidate.  A column whose last wanted value is more frequent than that, or whose
+    candidates make up all its rows, is done; the values of any other column are all counted.
     """
-    bad = unpivot(df, columns).filter(~F.trim(VALUE).rlike(NUMBER))
-    counts = bad.groupBy(GROUP, VALUE).agg(F.count(F.lit(1)).alias("n_rows"))
+    spark = long.sparkSession
+    wanted = max(CANDIDATES, most_values)
+    sketch_ = F.expr(f"approx_top_k({VALUE}, {wanted}, {max(tracked, wanted)})")
+    # One row per column, with a bounded list.
+    found = long.groupBy(GROUP).agg(F.count(F.lit(1)).alias("rows"), sketch_.alias("items")).collect()
+    named = [(r[GROUP], item["item"]) for r in found for item in r["items"]]
+    kinds = f"{GROUP} string, {VALUE} {long.schema[VALUE].dataType.simpleString()}"
+    candidates = spark.createDataFrame(named, kinds)
+    exact = long.join(F.broadcast(candidates), [GROUP, VALUE]).groupBy(GROUP, VALUE).agg(F.count(F.lit(1)).alias("n_rows"))
+    counts = {r[GROUP]: [] for r in found}
+    for r in exact.collect() if named else ():
+        counts[r[GROUP]].append((r["n_rows"], r[VALUE]))
+    proven, open_ = [], []
+    for r in found:
+        mine = sorted(counts[r[GROUP]], key=lambda c: (-c[0], _in_order(c[1])))
+        # Fixed value: a sketch is off by at most 3.5 rows in as many as it tracks, and leaves out what may be
+        # nothing but that error.
+        missed = 2 * 3.5 * r["rows"] / max(tracked, wanted)
+        if len(r["items"]) == wanted:
+            missed = max(missed, r["items"][-1]["count"])
+        done = sum(n for n, _ in mine) == r["rows"] or (len(mine) >= most_values and mine[most_values - 1][0] > missed)
+        if done:
+            proven += [(r[GROUP], value, n, place) for place, (n, value) in enumerate(mine[:most_values], 1)]
+        else:
+            open_.append(r[GROUP])
+    shown = spark.createDataFrame(proven, f"{kinds}, n_rows long, place int")
+    return shown.unionByName(_counted_in_full(long.where(F.col(GROUP).isin(open_)), most_values)) if open_ else shown
+
+
+def _in_order(value):
+    """As Spark orders: text by its bytes."""
+    return value.encode() if isinstance(value, str) else value
+
+
+def _counted_in_full(long: DataFrame, most_values: int) -> DataFrame:
+    """The same by counting every value; the rank limit is applied in every task before rows are brought together."""
+    counts = long.groupBy(GROUP, VALUE).agg(F.count(F.lit(1)).alias("n_rows"))
     place = F.row_number().over(Window.partitionBy(GROUP).orderBy(F.desc("n_rows"), VALUE))
-    return counts.select("*", place.alias("place")).filter(F.col("place") <= examples)
+    return counts.select("*", place.alias("place")).filter(F.col("place") <= most_values)
 
 
 def malformed_number_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -383,13 +451,28 @@ def parse_profile(raw: DataFrame, columns: Sequence[str]) -> DataFrame:
         {"p01": 0.01, "median": 0.5, "p99": 0.99},
         number,
     )
-    # Distinct values are counted by value, so no task holds a set of them.
-    values = unpivot(raw, columns).select(GROUP, F.trim(VALUE).try_cast("double").alias(VALUE)).distinct()
-    distinct = values.groupBy(GROUP).agg(F.count(VALUE).alias("n_unique"))
+    distinct = distinct_numbers(unpivot(raw, columns).select(GROUP, F.trim(VALUE).try_cast("double").alias(VALUE)))
     # One row per column on either side.
     return shape.join(F.broadcast(distinct), GROUP, "left").withColumn("n_unique", F.coalesce("n_unique", F.lit(0)))
 
 
+def distinct_numbers(long: DataFrame) -> DataFrame:
+    """Distinct numbers per column of (column, value) rows: (column, n_unique), exact.
+
+    Whole numbers below ``WHOLE`` are bits of a few bitmaps per column, which tasks combine before anything
+    is shuffled, however many rows and values there are.  Only other numbers are shuffled by value.
+    """
+    whole = (F.col(VALUE) == F.floor(VALUE)) & (F.abs(VALUE) < WHOLE)
+    known = long.where(F.col(VALUE).isNotNull())
+    bit = known.where(whole).select(GROUP, (F.floor(VALUE) + WHOLE).alias("bit"))
+    maps = bit.groupBy(GROUP, F.bitmap_bucket_number("bit").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits")
+    )
+    counted = maps.groupBy(GROUP).agg(F.sum(F.bitmap_count("bits")).alias("n"))
+    others = known.where(~whole).distinct().groupBy(GROUP).agg(F.count(F.lit(1)).alias("n"))
+    return counted.unionByName(others).groupBy(GROUP).agg(F.sum("n").alias("n_unique"))
+
+
 def derived_summary(df: DataFrame, columns: Sequence[str], digits: int = 6) -> DataFrame:
     """Count, mean, standard deviation, extremes and quartiles per column.
 
