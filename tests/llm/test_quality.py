@@ -90,6 +90,27 @@ def test_quality_of_odd_rows_without_labels(spark):
     assert quality.judge(docs.limit(0), model).count() == quality.keep_good(docs.limit(0), model).count() == 0
 
 
+@pytest.mark.parametrize("n_good, n_bad", [(1, 9), (9, 1), (7, 193), (1, 1)])
+def test_few_labels_of_a_class_still_train(spark, n_good, n_bad):
+    texts = [(f"lovely clear prose number {i} about rivers", 1) for i in range(n_good)] + [(f"###$$$ @@@ {i} xxqq zzvv", 0) for i in range(n_bad)]
+    model = quality.fit(spark.createDataFrame(texts, "text string, label int"))
+    assert model is not quality.KEEP_ALL
+    good, bad = model.log_odds(["clear prose about rivers", "xxqq ###$$$ zzvv"])
+    assert good > bad
+
+
+def test_training_rows_are_bounded_in_rows_and_text(spark, monkeypatch):
+    """A very long text takes the room of many, but the first is always taken."""
+    docs = documents(spark, ["word " * 200, "x" * 50_000, *["short text"] * 40])
+    labels = docs.select("doc_id", (F.col("doc_id") % 2).alias("quality"))
+    assert quality.training_rows(docs, labels, "quality").count() == 42
+    assert quality.training_rows(docs, labels, "quality", 5).count() == 5
+    monkeypatch.setattr(quality, "SAMPLE_TEXT", 100)
+    few = quality.training_rows(docs, labels, "quality").collect()
+    assert 1 <= len(few) < 15
+    assert sorted(map(tuple, few)) == sorted(map(tuple, quality.training_rows(docs.repartition(7), labels, "quality").collect()))
+
+
 @pytest.fixture(scope="module")
 def judged(spark):
     return queries.op5_toxicity(spark, SAMPLE).join(queries.table(spark, SAMPLE, "labels"), "doc_id").cache()

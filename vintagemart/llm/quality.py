@@ -7,12 +7,14 @@ has not seen.  Tasks score texts in Arrow batches: hashes are computed on the
 bytes of a whole block at once, and a text's score is the mean of the weights
 its n-grams have.
 
-Training takes at most ``SAMPLE_ROWS`` labelled rows, the first by a hash of the
-row, whatever the size of the corpus; counts and scores cover every row.
+Training takes at most ``SAMPLE_ROWS`` labelled rows and ``SAMPLE_TEXT`` bytes of their texts, the
+first by a hash of the row, whatever the size of the corpus; counts and scores cover every row.
 
 Defined results: a null or empty text, or one without words, has counts of 0 and
-fails the base rules.  Without labelled rows of both classes the learned part
-keeps everything.  Ties, repeated rows and extra columns do not matter.
+fails the base rules.  Labelled rows of both classes, however few, train the learned part; without
+one of the classes there is nothing to tell apart and it keeps everything.  Ties, repeated rows and
+extra columns do not matter, and an empty table gives no rows.  A very long text is a block by
+itself, for which a task needs about a hundred times its bytes.
 """
 
 from __future__ import annotations
@@ -22,14 +24,19 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from .text import BLOCK_BYTES, blocks, codes_of, window_codes
+from .text import blocks, codes_of, window_codes
 
-# Bound of the training sample, and the part of it that only calibrates.
+# Bounds of the training sample, tasks it is dealt over, and the part of it that only calibrates.
 SAMPLE_ROWS = 4_000
+SAMPLE_TEXT = 64 << 20
+SAMPLE_TASKS = 16
 CALIBRATION_SHARE = 0.25
 
+# Texts are scored in blocks of about so many bytes; hashes take about a hundred times as much.
+SCORE_BYTES = 512 << 10
+
 # Training rows whose n-grams are laid out at once; the others stay as they came from the tasks.
 ROW_BLOCK = 64
 
@@ -158,18 +165,23 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, label: str, rows: int = SAMPLE_ROWS) -> DataFrame:
-    """At most ``rows`` labelled texts, the first by a hash of the row."""
+    """At most ``rows`` labelled texts of ``SAMPLE_TEXT`` bytes in all, the first by a hash of the row."""
     wanted = labels.select(F.col("doc_id"), F.col(label).cast("int").alias("label")).where("doc_id is not null and label in (0, 1)")
     order = F.xxhash64(F.col("doc_id").cast("string"))
     # Picked among the labels first, so that few texts are moved; a few more for ids without a text.
     picked = wanted.orderBy(order, "doc_id", "label").limit(2 * rows)
     joined = docs.select("doc_id", F.col("text")).join(F.broadcast(picked), "doc_id")
-    return joined.select("text", "label", "doc_id").orderBy(order, "doc_id", "label", F.xxhash64("text")).limit(rows).select("text", "label")
+    first = (order, "doc_id", "label", F.xxhash64("text"))
+    limited = joined.select("text", "label", "doc_id").orderBy(*first).limit(rows)
+    # The window holds the sample and no more.  After a limit all rows are in one task; they are dealt out again.
+    size = F.sum(F.coalesce(F.octet_length("text"), F.lit(0))).over(Window.partitionBy(F.lit(0)).orderBy(*first).rowsBetween(Window.unboundedPreceding, -1))
+    bounded = limited.withColumn("_size", size).where(f"_size is null or _size < {SAMPLE_TEXT}")
+    return bounded.select("text", "label").repartition(SAMPLE_TASKS)
 
 
 def _sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each text's n-gram shares as (slot, share) lists; texts themselves stay in the task."""
-    for rows, texts in blocks(batches, "text"):
+    for rows, texts in blocks(batches, "text", SCORE_BYTES):
         parts = [[] for _ in texts]
         for kind, (owner, slot) in enumerate(hashed_kinds(texts)):
             key, count = np.unique(owner * SLOTS + slot, return_counts=True)
@@ -188,19 +200,24 @@ def _sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def fit(sample: DataFrame, *, steps: int = 120, ridge: float = 3e-4) -> QualityModel:
-    """Train on a bounded sample of (text, label) rows and calibrate on the part left out."""
-    rows = sample.mapInArrow(_sparse, "slots binary, shares binary, label int").collect()
+    """Train on a bounded sample of (text, label) rows and calibrate on the part left out.
+
+    Where one of the two parts would lack a class, all rows stand in for that part.
+    """
+    # Task by task, so that the driver holds the lists once.
+    rows = list(sample.mapInArrow(_sparse, "slots binary, shares binary, label int").toLocalIterator())
     # The lists are compared as they are, without a copy.
     rows.sort(key=lambda r: (r.label, r.slots, r.shares))
     y = np.array([r.label for r in rows], dtype=float)
-    if len(set(y)) < 2 or min(np.bincount(y.astype(int))) < 8:
+    if len(set(y)) < 2:
         return KEEP_ALL
     held = np.arange(len(rows)) % round(1 / CALIBRATION_SHARE) == 0
-    weights = _descend([r for r, h in zip(rows, held) if not h], y[~held], steps, ridge)
-    score = np.zeros(int(held.sum()))
-    for here, row, column, value in _triples([r for r, h in zip(rows, held) if h]):
+    learned, calibrated = (part if len(set(y[part])) == 2 else np.full(len(y), True) for part in (~held, held))
+    weights = _descend([r for r, h in zip(rows, learned) if h], y[learned], steps, ridge)
+    score = np.zeros(int(calibrated.sum()))
+    for here, row, column, value in _triples([r for r, h in zip(rows, calibrated) if h]):
         score[here] = np.bincount(row, weights=weights[column] * value, minlength=len(score[here])) / SCALE
-    slope, offset = _platt(score, y[held])
+    slope, offset = _platt(score, y[calibrated])
     return QualityModel(weights.reshape(KINDS, SLOTS), slope, offset)
 
 
@@ -268,7 +285,7 @@ def judge(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         here = QualityModel(*shared.value)
-        for rows, texts in blocks(batches, "text", BLOCK_BYTES):
+        for rows, texts in blocks(batches, "text", SCORE_BYTES):
             counts = [base_counts(t) for t in texts]
             fails = [base_fails(c[0], c[4]) for c in counts]
             good = here.probability(texts)
@@ -290,15 +307,20 @@ def judge(
 
 
 def keep_good(docs: DataFrame, model: QualityModel, *, text_column: str = "text", keep_from: float = KEEP_FROM) -> DataFrame:
-    """The rows that pass, columns as they are; a narrow job, no join."""
+    """The rows that pass, columns as they are; a narrow job, no join.
+
+    Only texts go to the Python workers and only verdicts come back.
+    """
     shared = docs.sparkSession.sparkContext.broadcast((model.weights.astype(np.float32), model.slope, model.offset))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.arrow_udf("boolean")
+    def passes(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         here = QualityModel(*shared.value)
-        for rows, texts in blocks(batches, text_column, BLOCK_BYTES):
-            counts = [base_counts(t) for t in texts]
-            good = here.probability(texts)
-            kept = [not base_fails(c[0], c[4]) and bool(p >= keep_from) for c, p in zip(counts, good)]
-            yield rows.filter(pa.array(kept, pa.bool_()))
-
-    return docs.mapInArrow(run, docs.schema)
+        for column in columns:
+            kept: list[bool] = []
+            for _, texts in blocks(iter([pa.RecordBatch.from_arrays([column], names=["text"])]), "text", SCORE_BYTES):
+                good = here.probability(texts)
+                kept += [not base_fails(c[0], c[4]) and bool(p >= keep_from) for c, p in zip(map(base_counts, texts), good)]
+            yield pa.array(kept, pa.bool_())
+
+    return docs.where(passes(F.col(text_column)))
