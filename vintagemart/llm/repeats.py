@@ -9,19 +9,21 @@ itself, down to that depth.
   leftmost of equal ones) and their place in the window: equal windows have it in
   common, and neighbouring windows share it, so a row stands for a run of
   suffixes and holds one fingerprint for each.
-* Where so many suffixes share a prefix that their group could outgrow a task, the
+* Where more than ``GROUP_RUNS`` runs share a prefix, so that their group could outgrow a task, the
   prefix is extended to the whole window.  Which prefixes are treated so is
-  decided beforehand, from counts over all texts, and is the same in every task.
+  decided beforehand, from the counts of all prefixes of all texts, and is the same in every task.
 * A task first resolves what repeats within its own block of texts, and ships one
   of the equal suffixes only, so a passage that stands in every document crosses
   the network once per block.
 
-Two windows are held equal if a 64-bit hash of the prefix, its place and a 48-bit
-fingerprint of the window are equal; no texts are compared.
+Two windows are held equal if two independent hashes of theirs, of 64 and of at least 48 bits, are
+equal, and the place of the prefix; no texts are compared.
 
 Defined results: a null or empty text has no words, nothing removed and an empty
 rest; texts shorter than a window are left alone.  A repeated row is a repetition
-of its text.  The order of words that stay is kept.  Extra columns are ignored.
+of its text; the runs of equal rows are put together before they are shuffled, so that each run
+is there once, however many rows are equal.  The order of words that stay is kept.  Extra columns are
+ignored.  An empty table gives no rows.  A very long text is a block by itself.
 """
 
 from __future__ import annotations
@@ -39,9 +41,9 @@ from .text import blocks, hexdigest, words_of
 WIDTH = 35
 GRAM = 8
 
-# A prefix is extended if it stands for at least this share of a block's prefixes and this
-# many of them; at most so many prefixes are, the most frequent ones.
-HOT_SHARE, HOT_LEAST, HOT_MOST = 0.0002, 8, 50_000
+# A prefix that more runs than this share is extended.  There is at most one such prefix for so many
+# runs, of about 14 windows each, so the list of them is a millionth of the text or less.
+GROUP_RUNS = 20_000
 
 # Bytes of text resolved within a task before anything is shipped.
 BLOCK = 8 << 20
@@ -142,30 +144,41 @@ class Block:
 
 
 def _hot_prefixes(docs: DataFrame, width: int, gram: int) -> np.ndarray:
-    """Prefixes to extend, sorted; at most HOT_MOST of them."""
+    """Prefixes to extend, sorted."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, texts in blocks(batches, "text", BLOCK):
             block = Block(texts, width, gram)
             begins, _ = block.runs(np.arange(len(block.window)), block.gram)
             grams, n = np.unique(block.gram[begins] if len(begins) else block.gram, return_counts=True)
-            often = n >= max(HOT_LEAST, HOT_SHARE * n.sum())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(grams[often].view(np.int64)), pa.array(n[often].astype(np.int64))], names=["gram", "n"]
-            )
+            yield pa.RecordBatch.from_arrays([pa.array(grams.view(np.int64)), pa.array(n.astype(np.int64))], names=["gram", "n"])
 
     found = docs.select("text").mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-    rows = found.orderBy(F.desc("n"), "gram").limit(HOT_MOST).select("gram").collect()
+    rows = found.where(F.col("n") > GROUP_RUNS).select("gram").collect()
     return np.sort(np.array([r.gram for r in rows], dtype=np.int64).view(np.uint64))
 
 
-SUFFIXES = "key long, row long, first int, n int, offset int, prints binary"
+def _equal(*numbers: np.ndarray) -> np.ndarray:
+    """A code for each row of numbers, equal exactly where all its numbers are."""
+    codes, uniques = pd.factorize(numbers[0])
+    for more in numbers[1:]:
+        first = np.empty(len(uniques), dtype=np.int64)
+        first[codes[::-1]] = np.arange(len(codes))[::-1]
+        if (more == more[first[codes]]).all():
+            continue
+        # Rare: equal numbers of different windows.
+        others, n = pd.factorize(more)
+        codes, uniques = pd.factorize(codes * len(n) + others)
+    return codes
+
+
+SUFFIXES = "key long, row long, row2 long, first int, n int, offset int, prints binary"
 PRINT_BYTES = 6
 
 
-def _prints(window: np.ndarray) -> np.ndarray:
-    """48 bits of each window's hash, as bytes in rows."""
-    return window.view(np.uint8).reshape(-1, 8)[:, :PRINT_BYTES]
+def _prints(hashes: np.ndarray) -> np.ndarray:
+    """48 bits of each hash, as bytes in rows."""
+    return hashes.view(np.uint8).reshape(-1, 8)[:, :PRINT_BYTES]
 
 
 def _suffixes(batches: Iterator[pa.RecordBatch], hot: np.ndarray, width: int, gram: int) -> Iterator[pa.RecordBatch]:
@@ -174,8 +187,8 @@ def _suffixes(batches: Iterator[pa.RecordBatch], hot: np.ndarray, width: int, gr
         block = Block(texts, width, gram)
         if not len(block.window):
             continue
-        ids = rows.column(rows.schema.get_field_index("row")).to_numpy(zero_copy_only=False)
-        codes, _ = pd.factorize(block.window)
+        ids = [rows.column(i).to_numpy(zero_copy_only=False) for i in range(2)]
+        codes = _equal(block.window, block.gram, block.offset)
         repeated = np.bincount(codes)[codes] > 1
         first = np.zeros(len(codes), dtype=bool)
         first[np.unique(codes, return_index=True)[1]] = True
@@ -189,7 +202,8 @@ def _suffixes(batches: Iterator[pa.RecordBatch], hot: np.ndarray, width: int, gr
         begins, lengths = block.runs(plain, block.gram, block.place + block.offset)
         yield _rows(block.gram[plain[begins]], ids, block, plain[begins], lengths, _prints(block.window[plain]))
         long = shipped[extended]
-        yield _rows(mixed(block.window[long]), ids, block, long, np.ones(len(long), dtype=np.int64), _prints(block.window[long]))
+        # Here the window is the key, and its prefix tells it from another one of the same key.
+        yield _rows(mixed(block.window[long]), ids, block, long, np.ones(len(long), dtype=np.int64), _prints(block.gram[long]))
 
 
 def _rows(key, ids, block: Block, begins, lengths, prints) -> pa.RecordBatch:
@@ -202,13 +216,13 @@ def _rows(key, ids, block: Block, begins, lengths, prints) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [
             pa.nulls(n, pa.int64()) if key is None else pa.array(key.view(np.int64)),
-            pa.array(ids[block.owner[begins]]),
+            *[pa.array(i[block.owner[begins]]) for i in ids],
             pa.array(block.place[begins].astype(np.int32)),
             pa.array(lengths.astype(np.int32)),
             pa.array(block.offset[begins].astype(np.int32)),
             binary,
         ],
-        names=["key", "row", "first", "n", "offset", "prints"],
+        names=["key", "row", "row2", "first", "n", "offset", "prints"],
     )
 
 
@@ -221,7 +235,7 @@ def _resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys = batch.column(0)
         marks = batch.filter(keys.is_null())
         if marks.num_rows:
-            yield marks.select(["row", "first", "n"])
+            yield marks.select(["row", "row2", "first", "n"])
         batch = batch.filter(keys.is_valid())
         if not batch.num_rows:
             continue
@@ -240,29 +254,30 @@ def _resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _repeated(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
     table = pa.Table.from_batches(parts).combine_chunks()
-    key, row, first, n, offset = (table.column(i).to_numpy() for i in range(5))
+    key, row, row2, first, n, offset = (table.column(i).to_numpy() for i in range(6))
     # Rows whose key occurs once have nothing to be equal to.
     alone = np.append(True, key[1:] != key[:-1]) & np.append(key[1:] != key[:-1], True)
     keep = np.flatnonzero(~alone)
-    key, row, first, n, offset = (x[keep] for x in (key, row, first, n, offset))
-    data = b"".join(table.column(5).take(pa.array(keep)).to_pylist())
+    key, row, row2, first, n, offset = (x[keep] for x in (key, row, row2, first, n, offset))
+    data = b"".join(table.column(6).take(pa.array(keep)).to_pylist())
     prints = np.zeros((int(n.sum()), 8), dtype=np.uint8)
     prints[:, :PRINT_BYTES] = np.frombuffer(data, dtype=np.uint8).reshape(-1, PRINT_BYTES)
     which = np.repeat(np.arange(len(n)), n)
     step = np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n)
     place = (first[which] + step).astype(np.int64)
     tag = (offset[which] - step).astype(np.uint64) << np.uint64(48) | prints.view(np.uint64).ravel()
-    codes, _ = pd.factorize(mixed(key[which].view(np.uint64) * M1 + mixed(tag)))
+    codes = _equal(tag, key[which])
     twice = np.flatnonzero(np.bincount(codes)[codes] > 1) if len(codes) else np.empty(0, dtype=np.int64)
     new = np.append(True, (np.diff(place[twice]) != 1) | (np.diff(which[twice]) != 0)) if len(twice) else np.empty(0, dtype=bool)
     begins = np.flatnonzero(new)
     return pa.RecordBatch.from_arrays(
         [
             pa.array(row[which[twice[begins]]]),
+            pa.array(row2[which[twice[begins]]]),
             pa.array(place[twice[begins]].astype(np.int32)),
             pa.array(np.diff(np.append(begins, len(twice))).astype(np.int32)),
         ],
-        names=["row", "first", "n"],
+        names=["row", "row2", "first", "n"],
     )
 
 
@@ -275,21 +290,27 @@ def covered(n_words: int, marks, width: int) -> np.ndarray:
     return np.cumsum(steps)[:-1] > 0
 
 
+ROW = ["row", "row2"]
+
+
 def _keyed(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    text = F.col(text_column)
-    return docs.select(F.col(id_column).alias("id"), text.alias("text"), F.xxhash64(F.col(id_column), text).alias("row"))
+    """Id and text, and two numbers that tell the row from all that differ from it."""
+    id_, text = F.col(id_column), F.col(text_column)
+    return docs.select(id_.alias("id"), text.alias("text"), F.xxhash64(id_, text).alias("row"), F.xxhash64(F.lit(1), text, id_).alias("row2"))
 
 
 def repeated_runs(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text", width: int = WIDTH, gram: int = GRAM) -> DataFrame:
-    """Per row (a hash of id and text) the runs of windows that occur elsewhere: (row, runs)."""
+    """Per row (two hashes of id and text) the runs of windows that occur elsewhere: (row, row2, runs)."""
     keyed = _keyed(docs, id_column, text_column)
-    # Bounded by HOT_MOST.
+    # One number for each GROUP_RUNS runs at most.
     hot = docs.sparkSession.sparkContext.broadcast(_hot_prefixes(keyed, width, gram))
-    shipped = keyed.select("row", "text").mapInArrow(lambda batches: _suffixes(batches, hot.value, width, gram), SUFFIXES)
+    shipped = keyed.select(*ROW, "text").mapInArrow(lambda batches: _suffixes(batches, hot.value, width, gram), SUFFIXES)
     # Runs that need no other task go anywhere; suffixes of a key go together.
     sorted_ = shipped.repartition(F.coalesce("key", F.xxhash64("row", "first"))).sortWithinPartitions("key")
-    marks = sorted_.mapInArrow(_resolve, "row long, first int, n int")
-    return marks.groupBy("row").agg(F.collect_list(F.struct("first", "n")).alias("runs"))
+    marks = sorted_.mapInArrow(_resolve, "row long, row2 long, first int, n int")
+    # Equal rows have equal runs: the longest from each place is kept, on the map side already.
+    longest = marks.groupBy(*ROW, "first").agg(F.max("n").alias("n"))
+    return longest.groupBy(*ROW).agg(F.collect_list(F.struct("first", "n")).alias("runs"))
 
 
 def remove_repeats(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text", width: int = WIDTH, gram: int = GRAM) -> DataFrame:
@@ -313,5 +334,5 @@ def remove_repeats(docs: DataFrame, *, id_column: str = "doc_id", text_column: s
                 names=["id", "n_words", "n_removed", "kept"],
             )
 
-    joined = keyed.join(runs, "row", "left").select("id", "text", "runs")
+    joined = keyed.join(runs, ROW, "left").select("id", "text", "runs")
     return joined.mapInArrow(cut, f"id {kind}, n_words long, n_removed long, kept string").withColumnRenamed("id", id_column)
