@@ -1,8 +1,13 @@
 """SQL for DuckDB that gives the rows of those queries that SQL can express."""
 
+from .reputation import SUFFIXES
+
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 ALPHABETS = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
+TWO_LABELS = "array_to_string(list_slice(string_split(host, '.'), -2, -1), '.')"
+THREE_LABELS = "array_to_string(list_slice(string_split(host, '.'), -3, -1), '.')"
+
 URL_REPUTATION = f"""
 with parsed as (
   select page_id, case when position('://' in url) > 0 then substr(url, position('://' in url) + 3) end as rest from pages
@@ -11,11 +16,12 @@ with parsed as (
          coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') as path
   from parsed
 ), outcomes as (
-  select host, case when quality = 0 or toxic = 1 then 1 when quality is null or toxic is null then null else 0 end as bad
+  select regexp_replace(regexp_replace(host, '^.*@', ''), ':[0-9]*$', '') as host, case when quality = 0 or toxic = 1 then 1 when quality is null or toxic is null then null else 0 end as bad
   from pages_ join labels on labels.doc_id = try_cast(nullif(regexp_extract(path, '^/[^/]*/([0-9]{{1,18}})', 1), '') as bigint)
 ), hosts as (
-  select host, count(*) as n, sum(bad)::bigint as k, array_to_string(list_slice(string_split(host, '.'), -2, -1), '.') as domain,
-         string_split(host, '.')[-1] as suffix
+  select host, count(*) as n, sum(bad)::bigint as k,
+         case when {TWO_LABELS} in {SUFFIXES} then {THREE_LABELS} else {TWO_LABELS} end as domain,
+         case when {TWO_LABELS} in {SUFFIXES} then {TWO_LABELS} else string_split(host, '.')[-1] end as suffix
   from outcomes where bad is not null group by host
 ), domains as (select domain, suffix, sum(n)::bigint as n, sum(k)::bigint as k from hosts group by domain, suffix
 ), suffixes as (select suffix, sum(n)::bigint as n, sum(k)::bigint as k from domains group by suffix
@@ -42,7 +48,7 @@ with parsed as (
   select domain, (k + s * mean) / (n + s) as mean from domains join suffix_means using (suffix), strengths where level = 'domain'
 ), host_means as (
   select host, (k + s * mean) / (n + s) as m, n + s as size from hosts join domain_means using (domain), strengths where level = 'host'
-), bounds as (select host, m - 1.645 * sqrt(m * (1 - m) / (size + 1)) as bound from host_means
+), bounds as (select host as site, m - 1.645 * sqrt(m * (1 - m) / (size + 1)) as bound from host_means
 ), ruled as (
   select page_id, host, path, case
     when (host = 'example.net' or ends_with(host, '.example.net')) and starts_with(path, '/en/') then 'example.net/en/'
@@ -53,7 +59,7 @@ with parsed as (
 )
 select page_id, host, path, rule, case when rule in ('example.net/en/', 'org/fr/') then 'allow' when rule is not null then 'block'
        when bound > 0.5 then 'block' else 'allow' end as verdict
-from ruled left join bounds using (host)
+from ruled left join bounds on site = regexp_replace(regexp_replace(host, '^.*@', ''), ':[0-9]*$', '')
 """
 
 JACCARD_JOIN = f"""
@@ -100,10 +106,13 @@ select query_id, place::integer as rank, vec_id, score from ranked where place <
 """
 
 SOURCE_MIX = f"""
-with sized as (
-  select doc_id, source, len({WORDS})::bigint as size,
-         (cast('0x' || substr(md5('mix:' || coalesce(doc_id::varchar, '')), 1, 12) as bigint)::double + 0.5) / 281474976710656.0::double as u
-  from documents
+with counted as (select doc_id, source, len({WORDS})::bigint as size from documents
+), numbered as (select *, row_number() over (partition by doc_id, source, size) - 1 as copy from counted
+), sized as (
+  select doc_id, source, size, case when size > 0 then greatest(1, floor(16 * sqrt(size::double))) else 0 end::bigint as chance,
+         (cast('0x' || substr(md5('mix:' || coalesce(doc_id::varchar, '') || ':' || size || ':' || copy), 1, 12) as bigint)::double + 0.5)
+           / 281474976710656.0::double as u
+  from numbered
 ), sources as (
   select source, sum(size)::bigint as source_size, [3.0, 1.0, 2.0][1 + (row_number() over (order by source nulls last) - 1) % 3]::double as weight
   from sized group by source
@@ -118,18 +127,27 @@ with sized as (
   from levels
 ), parts as (
   select *, coalesce(floor(target / nullif(source_size, 0)), 0)::bigint as copies from targets
-), figures as (
-  select *, target - copies * source_size as rest, coalesce((target - copies * source_size) / nullif(source_size, 0), 0.0::double) as share from parts
+), figures as (select *, target - copies * source_size as words_left from parts
+), steps as (
+  select by_chance.source, chance, (words_left - coalesce(sum(words) over (falling rows between unbounded preceding and 1 preceding), 0))::double as rest,
+         (sum(moment) over (falling rows between current row and unbounded following))::double as scale
+  from (select source, chance, sum(size) as words, sum(size * chance) as moment from sized group by source, chance) by_chance
+  join figures f on f.source is not distinct from by_chance.source and words_left > 0
+  window falling as (partition by by_chance.source order by chance desc)
+), left_ as (
+  select source, max(chance) as sure, max_by(rest, chance) as rest, max_by(scale, chance) as scale from steps where rest * chance < scale group by source
+), shared as (
+  select doc_id, sized.source, size, chance, u, source_size, target, copies, sure, rest, rest * chance / scale as share
+  from sized join figures on sized.source is not distinct from figures.source left join left_ on sized.source is not distinct from left_.source
 ), ranked as (
-  select doc_id, sized.source, size, source_size, target, copies, rest,
-         (u / (1 - u)) / nullif(share / (1 - share), 0) as pareto
-  from sized join figures on sized.source is not distinct from figures.source
+  select *, (u / (1 - u)) / nullif(share / (1 - share), 0) as pareto, chance > sure as certain from shared
 ), placed as (
-  select *, coalesce(sum(size) over (partition by source order by coalesce(pareto / (1 + pareto), 1.0), doc_id, size
+  select *, coalesce(sum(size) over (partition by source, certain order by coalesce(pareto / (1 + pareto), 1.0), doc_id, size
                                      rows between unbounded preceding and 1 preceding), 0) as before_
   from ranked
 )
-select doc_id, size, source_size, target, (size * (copies + (2 * before_ + size <= 2 * rest)::int))::bigint as taken from placed
+select doc_id, size, source_size, target,
+       (size * (copies + coalesce((certain or 2 * before_ + size <= 2 * rest)::int, 0)))::bigint as taken from placed
 """
 
 COLLOCATIONS = rf"""

@@ -1,7 +1,8 @@
 """URL filter: rules first, then the reputation of the host.
 
-Labelled page outcomes are counted per host, registered domain (the last two
-labels of the host), suffix (the last one) and overall.  A host's share of bad
+Labelled page outcomes are counted per host, registered domain, suffix and overall.  The suffix
+is the last label of the host, or its last two where a table of suffixes names them; the
+registered domain has one label more.  A user name and a port are no part of a host here.  A host's share of bad
 pages has a beta-binomial posterior whose prior is its domain's posterior mean;
 the domain's prior comes from its suffix in the same way, the suffix's from all
 pages.  How strongly a level is drawn to the one above is estimated from the
@@ -16,7 +17,7 @@ finds the hosts small enough.
 Defined results: a null url, or one without ``://``, has an empty host and path;
 it fits no rule unless the rule is empty.  Hosts without labelled pages have
 their prior.  Repeated pages give repeated rows; without any label every page
-without a rule is allowed.
+without a rule is allowed.  An empty table gives no rows, and the length of urls does not matter.
 """
 
 from __future__ import annotations
@@ -26,6 +27,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..sources.scratch import written
+
 # A host goes if its share of bad pages is above BLOCK_ABOVE, by a bound BOUND_WIDTH
 # posterior standard deviations below the mean.
 BLOCK_ABOVE = 0.5
@@ -34,6 +37,12 @@ BOUND_WIDTH = 1.645
 # Limits of the estimated strength of a prior, in pages, and the digits it is rounded to.
 LEAST_STRENGTH, MOST_STRENGTH = 1.0, 1000.0
 
+# Suffixes of two labels, below which names are registered.
+SUFFIXES = (
+    "ac.uk", "co.uk", "gov.uk", "org.uk", "com.au", "net.au", "org.au", "co.nz", "co.jp", "ne.jp", "or.jp", "co.kr",
+    "com.br", "com.mx", "com.ar", "com.cn", "com.tw", "com.tr", "co.in", "co.za", "com.sg", "com.hk",
+)
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -60,6 +69,21 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
     return F.coalesce(host, F.lit("")), F.coalesce(F.regexp_extract(rest, r"^[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
+def site_of(host: Column) -> Column:
+    """A host without the user name before it and the port behind it."""
+    return F.regexp_replace(F.regexp_replace(host, "^.*@", ""), ":[0-9]*$", "")
+
+
+def suffix_and_domain(site: Column, suffixes: Sequence[str] = SUFFIXES) -> tuple[Column, Column]:
+    """The suffix of a site and its registered domain; a site that is no more than a suffix is its own domain."""
+
+    def last(labels: int) -> Column:
+        return F.substring_index(site, ".", -labels)
+
+    two = last(2).isin(list(suffixes)) if suffixes else F.lit(False)
+    return F.when(two, last(2)).otherwise(last(1)), F.when(two, last(3)).otherwise(last(2))
+
+
 def _best(rules: Sequence[Rule], host: Column, path: Column, value) -> Column:
     """The longest rule that fits; of equally long ones the first in the alphabet."""
     found = F.lit(None).cast("string")
@@ -93,16 +117,16 @@ def _strength(level: DataFrame, parent: str) -> DataFrame:
     return total.select(F.round(F.coalesce(strength, F.lit(MOST_STRENGTH)), 3).alias("strength"))
 
 
-def host_reputation(outcomes: DataFrame) -> DataFrame:
-    """Posterior mean and low bound of the share of bad pages, per host of (host, bad) rows."""
-    parts = F.split(F.col("host"), r"\.")
-    hosts = (
+def host_reputation(outcomes: DataFrame, suffixes: Sequence[str] = SUFFIXES) -> DataFrame:
+    """Posterior mean and low bound of the share of bad pages, per site of (host, bad) rows."""
+    suffix, domain = suffix_and_domain(F.col("host"), suffixes)
+    counted = (
         outcomes.where("bad in (0, 1)")
-        .groupBy("host")
+        .groupBy(site_of(F.col("host")).alias("host"))
         .agg(F.count(F.lit(1)).alias("n"), F.sum("bad").cast("long").alias("k"))
-        .select("host", "n", "k", F.array_join(F.slice(parts, -F.least(F.size(parts), F.lit(2)), 2), ".").alias("domain"),
-                F.element_at(parts, -1).alias("suffix"), F.lit("").alias("all"))
     )
+    # Every level is made from this table, which is read instead of counted again.
+    hosts = written(counted.select("host", "n", "k", domain.alias("domain"), suffix.alias("suffix"), F.lit("").alias("all")), "host-counts")
     levels = {"host": hosts}
     for name, below in ((["domain", "suffix", "all"], "host"), (["suffix", "all"], "domain"), (["all"], "suffix")):
         levels[name[0]] = levels[below].groupBy(*name).agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
@@ -126,6 +150,7 @@ def judge(
     id_column: str = "page_id",
     url_column: str = "url",
     block_above: float = BLOCK_ABOVE,
+    suffixes: Sequence[str] = SUFFIXES,
 ) -> DataFrame:
     """Host, path, rule and verdict of every page; ``outcomes`` has (host, bad) rows."""
     host, path = host_and_path(F.col(url_column))
@@ -134,8 +159,8 @@ def judge(
         "rule": _best(rules, F.col("host"), F.col("path"), lambda r: r.text),
         "ruling": _best(rules, F.col("host"), F.col("path"), lambda r: r.verdict),
     })
-    known = host_reputation(outcomes).select("host", F.col("bound").alias("bad_bound"))
+    known = host_reputation(outcomes, suffixes).select(F.col("host").alias("site"), F.col("bound").alias("bad_bound"))
     learned = F.when(F.col("bad_bound") > block_above, "block").otherwise("allow")
-    return ruled.join(known, "host", "left").select(
+    return ruled.withColumn("site", site_of(F.col("host"))).join(known, "site", "left").select(
         id_column, "host", "path", "rule", F.coalesce("ruling", learned).alias("verdict")
     )
