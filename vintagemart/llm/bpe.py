@@ -11,8 +11,13 @@ get by itself.
 Results are kept per white-space run in a cache of bounded size: encoding does not
 look across white space, so equal runs have equal ids.
 
-Defined results: a null or empty text has no tokens and decodes to an empty text;
-rows are treated one by one, so ties, repeated rows and extra columns do not matter.
+``encoded`` gives the ids of texts, ``decoded`` the texts of ids, and ``round_trips`` compares the
+two by digests of their results.  All are narrow jobs.
+
+Defined results: a null or empty text has no tokens; null or no ids decode to an empty text, and ids that the
+vocabulary does not have are left out.  Rows are treated one by one, so ties and repeated rows do not
+matter; columns of the names that are made are replaced.  An empty table gives no rows.  A very long text
+is a block by itself.
 """
 
 from __future__ import annotations
@@ -21,16 +26,17 @@ import heapq
 import json
 import unicodedata
 from array import array
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import ArrayType, DataType, IntegerType, StringType, StructField, StructType
 from tokenizers import Regex, Tokenizer, pre_tokenizers
 
-from .text import blocks, hexdigest
+from .text import blocks
 
 # The layout of a vocabulary file that this encoder can read.
 MODEL_TYPE = "BPE"
@@ -44,8 +50,9 @@ ROW_SYMBOLS = 4_000_000
 # Lists of at most so many positions are merged one by one.
 SHORT_LIST = 24
 
-# Bytes of text whose new runs are learned together.
+# Bytes of text whose new runs are learned together, and rows whose ids are decoded together.
 LEARN_BYTES = 8 << 20
+DECODE_ROWS = 500
 
 # Fixed value: the first character after the Latin blocks, which no Unicode version changes.
 SETTLED_END = "\u0250"
@@ -270,7 +277,10 @@ class PairIndexBpe:
 
     def decode(self, ids: list[int]) -> str:
         """The pieces of the ids; without a decoder in the file, joined by a blank."""
-        return " ".join(self.pieces[i] for i in ids if i in self.pieces)
+        try:
+            return " ".join(map(self.pieces.__getitem__, ids))
+        except KeyError:
+            return " ".join(self.pieces[i] for i in ids if i in self.pieces)
 
 
 def _leftmost(places: np.ndarray, after: np.ndarray) -> np.ndarray:
@@ -285,13 +295,12 @@ def _leftmost(places: np.ndarray, after: np.ndarray) -> np.ndarray:
 
 
 class RunCache:
-    """Ids and pieces of pre-tokens and of white-space runs, as text, for one worker."""
+    """Ids of pre-tokens and of white-space runs, as bytes of 32-bit numbers, for one worker."""
 
     def __init__(self, bpe: PairIndexBpe, limit: int = CACHE_RUNS):
         self.bpe, self.limit = bpe, limit
-        self.text_of = {i: str(i) for i in bpe.pieces}
-        self.words: dict[str, tuple[str, str]] = {}
-        self.of: dict[str, tuple[str, str]] = {}
+        self.words: dict[str, bytes] = {}
+        self.of: dict[str, bytes] = {}
 
     def learn(self, runs: set[str]) -> None:
         new = [r for r in runs if r not in self.of]
@@ -304,15 +313,11 @@ class RunCache:
         if len(self.words) + len(wanted) > self.limit:
             self.words = {w: self.words[w] for w in wanted if w in self.words}
         words = [w for w in wanted if w not in self.words]
-        text_of, piece_of, known = self.text_of, self.bpe.pieces, self.words
+        known = self.words
         for word, ids in zip(words, self.bpe.encode_words(words)):
-            known[word] = " ".join([text_of[i] for i in ids]), " ".join([piece_of[i] for i in ids])
+            known[word] = array("i", ids).tobytes()
         for run, ws in zip(new, split):
-            if len(ws) == 1:
-                self.of[run] = known[ws[0]]
-            else:
-                both = [known[w] for w in ws]
-                self.of[run] = " ".join([i for i, _ in both]), " ".join([p for _, p in both])
+            self.of[run] = known[ws[0]] if len(ws) == 1 else b"".join([known[w] for w in ws])
 
     def runs(self, text: str) -> list[tuple[list[str], int | None]]:
         out = []
@@ -332,61 +337,67 @@ def _cache(path: str) -> RunCache:
     return RunCache(PairIndexBpe(path))
 
 
-def _encoder(path: str, id_column: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _with_column(df: DataFrame, columns: list[str] | None, read: str, name: str, kind: DataType) -> tuple[DataFrame, StructType]:
+    """The columns to carry along and the one to read, last; and the schema with the new column in its place."""
+    kept = [c for c in (df.columns if columns is None else columns) if c != name]
+    wanted = df.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{read}`").alias("_read"))
+    return wanted, StructType([*wanted.schema.fields[:-1], StructField(name, kind, False)])
+
+
+def encoded(docs: DataFrame, path: str, *, text_column: str = "text", ids_column: str = "token_ids", columns: list[str] | None = None) -> DataFrame:
+    """The rows (or the named columns of them) with an array of ids."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = _cache(path)
-        for rows, texts in blocks(batches, "text", LEARN_BYTES):
+        for rows, texts in blocks(batches, "_read", LEARN_BYTES):
             split = [cache.runs(t) if t else [] for t in texts]
             cache.learn({r for doc in split for runs, _ in doc for r in runs if r})
-            ids_out, n_out, text_out = [], [], []
+            of, found = cache.of, []
             for doc in split:
-                ids, pieces = [], []
+                parts: list[bytes] = []
                 for runs, special in doc:
                     if special is not None:
-                        ids.append(str(special))
-                        pieces.append(cache.bpe.pieces[special])
+                        parts.append(array("i", [special]).tobytes())
                     else:
-                        found = [cache.of[r] for r in runs if r]
-                        ids += [i for i, _ in found]
-                        pieces += [p for _, p in found]
-                joined = " ".join(ids)
-                n_out.append(joined.count(" ") + 1 if joined else 0)
-                ids_out.append(joined)
-                text_out.append(" ".join(pieces))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    rows.column(0),
-                    pa.array(n_out, pa.int64()),
-                    pa.array(map(hexdigest, ids_out), pa.string()),
-                    pa.array(map(hexdigest, text_out), pa.string()),
-                ],
-                names=[id_column, "n_tokens", "ids_sha256", "decoded_sha256"],
-            )
-
-    return run
-
-
-def round_trips(docs: DataFrame, path: str, *, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """Every text encoded and decoded again: number of tokens, digests of ids and of the decoded text.
-
-    A narrow job: no shuffle, and a lost task is simply run again.
-    """
-    schema = f"`{id_column}` {docs.schema[id_column].dataType.simpleString()}, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return docs.select(F.col(id_column), F.col(text_column).alias("text")).mapInArrow(_encoder(path, id_column), schema)
+                        parts += [of[r] for r in runs if r]
+                found.append(b"".join(parts))
+            ends = np.cumsum([0, *map(len, found)]) // 4
+            ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(found), dtype=np.int32)))
+            yield pa.RecordBatch.from_arrays([*rows.columns[:-1], ids], names=[*rows.schema.names[:-1], ids_column])
 
+    wanted, schema = _with_column(docs, columns, text_column, ids_column, ArrayType(IntegerType(), False))
+    return wanted.mapInArrow(run, schema)
 
-def encoded(docs: DataFrame, path: str, *, text_column: str = "text") -> DataFrame:
-    """The rows with an array of ids."""
-    from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
-    # The name of the new column may be taken: it replaces what is there.
-    kept = docs.drop("token_ids")
-    schema = StructType([*kept.schema.fields, StructField("token_ids", ArrayType(IntegerType(), False), False)])
+def decoded(tokens: DataFrame, path: str, *, ids_column: str = "token_ids", text_column: str = "text", columns: list[str] | None = None) -> DataFrame:
+    """The rows (or the named columns of them) with the text of their ids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = _cache(path)
-        for rows, texts in blocks(batches, text_column):
-            ids = pa.array([cache.bpe.encode(t) for t in texts], pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([*rows.columns, ids], names=[*rows.schema.names, "token_ids"])
+        decode = _cache(path).bpe.decode
+        for batch in batches:
+            for start in range(0, batch.num_rows, DECODE_ROWS):
+                rows = batch.slice(start, DECODE_ROWS)
+                ids = rows.columns[-1]
+                ends, flat = ids.offsets.to_numpy() - ids.offsets[0].as_py(), ids.flatten().to_pylist()
+                texts = pa.array([decode(flat[a:b]) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())], pa.string())
+                yield pa.RecordBatch.from_arrays([*rows.columns[:-1], texts], names=[*rows.schema.names[:-1], text_column])
+
+    wanted, schema = _with_column(tokens, columns, ids_column, text_column, StringType())
+    none = F.array().cast("array<int>")
+    return wanted.withColumn("_read", F.coalesce("_read", none)).mapInArrow(run, schema)
+
 
-    return kept.mapInArrow(run, schema)
+def round_trips(docs: DataFrame, path: str, *, id_column: str = "doc_id", text_column: str = "text", keep_ids: bool = False) -> DataFrame:
+    """Every text encoded, and its ids decoded again: number of tokens, digests of ids and of the decoded text.
+
+    With ``keep_ids`` the ids themselves come last.
+    """
+    tokens = encoded(docs, path, text_column=text_column, ids_column="token_ids", columns=[id_column])
+    both = decoded(tokens, path, text_column="decoded")
+    return both.select(
+        id_column,
+        F.size("token_ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("token_ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+        *(["token_ids"] if keep_ids else []),
+    )
