@@ -7,18 +7,20 @@ than its share of the table is in it), and the summaries are merged in a tree;
 no pre-token is shuffled.  Tier two is each worker's cache of what the table
 misses, encoded by the library and bounded by ``CACHE_SIZE``.
 
-A pre-token is what stands between two blanks, cut again at line ends.  Cutting
-there is exact for a vocabulary without pieces that go across a blank or hold a
-line end, which is checked when the file is read.
+A pre-token is a word with the blanks before it, or blanks at the end of a line; lines are
+cut at their ends.  Cutting there is exact for a vocabulary whose pieces have blanks only at
+their start and hold no line end, which is checked when the file is read.
 
 Defined results: a null or empty text has no bytes and no tokens; rows are
-treated one by one, so ties, repeated rows and extra columns do not matter.
+treated one by one, so ties, repeated rows and extra columns do not matter.  An empty table gives no rows.  A
+very long text is a block by itself; what stands between two blanks is encoded whole.
 """
 
 from __future__ import annotations
 
 import json
 import math
+import re
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
@@ -44,6 +46,10 @@ LINE = "\n"
 # What a first pre-token of a line after the first is stored under: it has no blank before it.
 BARE = LINE
 
+# A blank alone, and the parts of a line: words with the blanks before them, and blanks at the end.
+LONE_BLANK = BARE + " "
+PARTS = re.compile(" *[^ ]+| +")
+
 
 class Pieces:
     """The vocabulary file as the library reads it, if its pieces let texts be cut."""
@@ -62,27 +68,36 @@ class Pieces:
         # Before a line end stands the blank that every text begins with.
         return [n - 2 if k[0] == BARE else n for n, k in zip(counts, keys)]
 
-    def whole(self, text: str) -> int:
-        return len(self.model.encode(text))
-
 
 @lru_cache(maxsize=2)
 def pieces(path: str) -> Pieces:
     return Pieces(path)
 
 
-def pre_tokens(text: str) -> list[str] | None:
-    """The pre-tokens of a text and its line ends; None if it has runs of blanks."""
-    if "  " in text or " \n" in text or text[0] == " " or text[-1] == " " or BLANK in text or "\n " in text:
-        return None
-    if LINE not in text:
-        return text.split(" ")
+def pre_tokens(text: str) -> list[str]:
+    """The pre-tokens of a text, as the library has to be given them.
+
+    It puts one blank before what it is given, so each has one of its own blanks less;
+    one that begins a line, or is a single blank, stands behind a line end instead.
+    """
+    if BLANK in text:
+        text = text.replace(BLANK, " ")
     first, *rest = text.split(LINE)
-    out = first.split(" ") if first else []
+    plain = "  " not in text and " \n" not in text and "\n " not in text and text[-1:] != " " and text[:1] != " "
+    if plain:
+        out = first.split(" ") if first else []
+        for line in rest:
+            head, *tail = line.split(" ")
+            out.append(BARE + head)
+            out += tail
+        return out
+    out = PARTS.findall(first)
+    out[1:] = [p[1:] or LONE_BLANK for p in out[1:]]
     for line in rest:
-        head, *tail = line.split(" ")
-        out.append(BARE + head)
-        out += tail
+        parts = PARTS.findall(line)
+        if parts and parts[0][0] != " ":
+            out.append(BARE + parts.pop(0))
+        out += [p[1:] or LONE_BLANK for p in parts]
     return out
 
 
@@ -97,10 +112,6 @@ class Counts:
         totals, rest = [], []
         for text in texts:
             words = pre_tokens(text) if text else []
-            if words is None:
-                totals.append(self.with_blanks(text))
-                rest.append([])
-                continue
             found = list(map(self.table.get, words))
             # Each line end is a token; so is the blank every text begins with if no word follows it.
             totals.append(sum(filter(None, found)) + (text.count(LINE) + text.startswith(LINE) if text else 0))
@@ -116,20 +127,13 @@ class Counts:
             self.cache = {w: self.cache[w] for w in words if w in self.cache}
         self.cache.update(zip(new, self.pieces.lengths(new)))
 
-    def with_blanks(self, text: str) -> int:
-        """Texts with runs of blanks are given to the library by lines, which are short."""
-        lines = text.replace(BLANK, " ").split(LINE)
-        keys = lines[:1] if lines[0] else []
-        keys += [BARE + line for line in lines[1:] if line]
-        return sum(self.pieces.lengths(keys)) + len(lines) - 1 + (not lines[0])
-
 
 def _summary(batches: Iterator[pa.RecordBatch], size: int) -> Counter:
     seen: Counter = Counter()
     for _, texts in blocks(batches, "text"):
         for text in texts:
             if text:
-                seen.update(pre_tokens(text) or ())
+                seen.update(pre_tokens(text))
         shrink(seen, 8 * size)
     shrink(seen, size)
     return seen
