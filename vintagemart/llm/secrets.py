@@ -4,8 +4,9 @@ The patterns find assignments of credentials, access keys and long hexadecimal
 numbers.  Beyond them, every long run of key characters is judged by two
 character Markov models, one of random strings and one of ordinary words: it is
 a secret if the log-likelihood ratio of the two is high.  Both models are counted
-over all documents, in which the patterns label the random strings and all other
-words are ordinary: neighbouring characters are added up before they are shuffled.
+over all documents, in which the patterns label the random strings, and all other
+words too short to be judged are ordinary; long runs that no pattern matches may be either and count for
+neither.  Equal words are counted first, in the tasks that read them, and only distinct ones are taken apart.
 
 All of it is SQL on columns: the pattern engine gives the matches and the text
 between them, whose lengths add up to positions in code points.  The scan has no
@@ -13,7 +14,7 @@ shuffle, and rows without a match pass with a few pattern tests.
 
 Defined results: a null or empty text has no spans.  If the documents hold no
 random strings, only the patterns count.  Ties, repeated rows and extra columns
-do not matter.
+do not matter; an empty table gives no rows.  A very long text is one row of one task, as it is elsewhere in SQL.
 """
 
 from __future__ import annotations
@@ -41,7 +42,8 @@ KIND_NAMES = ["assign", "access", "hex", "random"]
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
 RUN_LEAST = 20
 RUN = rf"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{{{RUN_LEAST},}}"
-ORDINARY = r"[A-Za-z0-9_-]{6,}"
+ORDINARY_LEAST = 6
+ORDINARY = rf"[A-Za-z0-9+/_=-]{{{ORDINARY_LEAST},}}"
 
 SPAN = "struct<start:int,kind:int,end:int>"
 
@@ -90,11 +92,12 @@ def _places(run: Column) -> Column:
 
 
 def _pairs(strings: DataFrame) -> DataFrame:
-    """Counts of neighbouring characters in (random, string); a blank stands before the first."""
-    codes = strings.select("random", F.split("string", "").alias("c"))
+    """Counts of neighbouring characters in (random, string) rows; a blank stands before the first."""
+    counted = strings.groupBy("random", "string").agg(F.count(F.lit(1)).alias("n"))
+    codes = counted.select("random", "n", F.split("string", "").alias("c"))
     both = F.arrays_zip(F.concat(F.array(F.lit(" ")), F.col("c")).alias("a"), F.col("c").alias("b"))
-    pairs = codes.select("random", F.explode(both).alias("p")).where("p.b is not null")
-    return pairs.groupBy("random", F.col("p.a").alias("a"), F.col("p.b").alias("b")).count()
+    pairs = codes.select("random", "n", F.explode(both).alias("p")).where("p.b is not null")
+    return pairs.groupBy("random", F.col("p.a").alias("a"), F.col("p.b").alias("b")).agg(F.sum("n").alias("count"))
 
 
 class RandomModel:
@@ -124,10 +127,14 @@ def learn(docs: DataFrame, *, text_column: str = "text") -> RandomModel | None:
     values = F.when(text.rlike(ASSIGN_HINT), F.regexp_extract_all(text, F.lit(ASSIGN), F.lit(2)))
     values = F.filter(F.coalesce(values, none), lambda v: F.length(v) >= ASSIGN_LEAST)
     others = F.concat(F.regexp_extract_all(text, F.lit(ACCESS), F.lit(0)), F.regexp_extract_all(text, F.lit(HEX), F.lit(0)))
-    bare = F.regexp_replace(F.regexp_replace(F.regexp_replace("text", ASSIGN, " "), ACCESS, " "), HEX, " ")
+    # What the patterns match is taken out, where a text may have any of it.
+    bare = F.when(text.rlike(ASSIGN_HINT), F.regexp_replace(text, ASSIGN, " ")).otherwise(text)
+    bare = F.when(bare.contains("AKIA"), F.regexp_replace(bare, ACCESS, " ")).otherwise(bare)
+    bare = F.when(bare.rlike(HEX), F.regexp_replace(bare, HEX, " ")).otherwise(bare)
+    words = F.filter(F.regexp_extract_all(bare, F.lit(ORDINARY), F.lit(0)), lambda w: F.length(w) < RUN_LEAST)
     kinds = F.array(
         F.struct(F.lit(True).alias("random"), F.concat(values, others).alias("strings")),
-        F.struct(F.lit(False).alias("random"), F.regexp_extract_all(bare, F.lit(ORDINARY), F.lit(0)).alias("strings")),
+        F.struct(F.lit(False).alias("random"), words.alias("strings")),
     )
     found = texts.where("text is not null").select(F.explode(kinds).alias("k"))
     # At most two rows for each pair of characters that a string can have.
