@@ -6,6 +6,7 @@ from collections import Counter
 import numpy as np
 import pytest
 from helpers import clashing, digest, documents, rows
+from pyspark.sql import functions as F
 
 from vintagemart.llm import components, jaccard, queries, repeats, topk
 
@@ -124,6 +125,41 @@ def test_components(spark):
     assert components.components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
 
 
+def test_sets_that_share_a_number_are_told_apart(spark, monkeypatch):
+    """Numbers of three values only: nearly all sets share theirs with others."""
+    real = jaccard.set_number
+    monkeypatch.setattr(jaccard, "set_number", lambda grams, seed=jaccard.M1: real(grams, seed) % 3 if seed == jaccard.M1 else real(grams, seed))
+    texts = mixed_corpus(11)[:60]
+    assert sorted(map(tuple, jaccard.classes(documents(spark, texts).repartition(3)).collect())) == brute_classes(texts)
+
+
+def test_many_equal_rows_are_one_before_they_are_joined(spark, monkeypatch):
+    """A near copy brings the repeated row into a region; the region has its text once."""
+    text = " ".join(f"w{i}" for i in range(200))
+    docs = spark.range(3000).select(F.lit(5).cast("long").alias("doc_id"), F.lit(text).alias("text"))
+    docs = docs.unionAll(spark.createDataFrame([(6, text + " more"), (7, "x")], "doc_id long, text string")).repartition(4)
+    seen = []
+    real = jaccard.join_regions
+    monkeypatch.setattr(jaccard, "join_regions", lambda texts, chosen, *a: seen.append(chosen.count()) or real(texts, chosen, *a))
+    monkeypatch.setattr(jaccard, "written", lambda df, name: seen.append((name, jaccard_written(df, name).count())) or jaccard_written(df, name))
+    found = jaccard.classes(docs).groupBy("doc_id", "component_id").count()
+    assert sorted(map(tuple, found.collect())) == [(5, 5, 3000), (6, 5, 1), (7, 7, 1)]
+    assert ("members", 2) in seen
+    assert sorted(r.doc_id for r in jaccard.keep_smallest(docs).collect()) == [5, 7]
+
+
+jaccard_written = jaccard.written
+
+
+def test_counters_in_two_bits():
+    import numpy as np
+
+    packed = np.zeros(4, dtype=np.uint8)
+    for slots in ([0, 1, 1, 5, 15], [1, 1, 1, 5, 2], [15] * 9):
+        jaccard._count_up(packed, np.array(slots, dtype=np.uint32))
+    assert jaccard._unpacked(packed).tolist() == [1, 3, 1, 0, 0, 2] + [0] * 9 + [3]
+
+
 def brute_rest(texts, width):
     words = [(t or "").encode().split() for t in texts]
     seen = Counter(tuple(w[i : i + width]) for w in words for i in range(len(w) - width + 1))
@@ -141,12 +177,11 @@ def rest(df):
     return sorted((r.doc_id, r.n_words, r.n_removed, digest(r.kept)) for r in df.collect())
 
 
-@pytest.mark.parametrize("block, hot", [(repeats.BLOCK, repeats.HOT_SHARE), (3000, 0.0)])
-def test_repeated_passages(spark, monkeypatch, block, hot):
-    """Small blocks resolve in the shuffle what large ones resolve in the task; with no share, every frequent prefix is extended."""
+@pytest.mark.parametrize("block, most", [(repeats.BLOCK, repeats.GROUP_RUNS), (3000, 1), (3000, 20)])
+def test_repeated_passages(spark, monkeypatch, block, most):
+    """Small blocks resolve in the shuffle what large ones resolve in the task; small groups have their prefixes extended."""
     monkeypatch.setattr(repeats, "BLOCK", block)
-    monkeypatch.setattr(repeats, "HOT_SHARE", hot)
-    monkeypatch.setattr(repeats, "HOT_LEAST", 2 if not hot else repeats.HOT_LEAST)
+    monkeypatch.setattr(repeats, "GROUP_RUNS", most)
     rng = random.Random(block)
     passage = " ".join(f"p{i}" for i in range(50))
     texts = mixed_corpus(4) + ["be " * 400, "x " + passage + " y", passage, passage + " " + passage, "é " * 36]
@@ -156,6 +191,25 @@ def test_repeated_passages(spark, monkeypatch, block, hot):
     assert rest(repeats.remove_repeats(docs, width=9, gram=3)) == brute_rest(texts, 9)
 
 
+def test_many_equal_rows_are_linear(spark):
+    """20,000 equal rows: a row's runs are kept once, not once for each copy."""
+    text = " ".join(f"w{i}" for i in range(60))
+    docs = spark.range(20_000).select(F.lit(7).cast("long").alias("doc_id"), F.lit(text).alias("text"))
+    docs = docs.unionAll(spark.createDataFrame([(8, text + " more"), (9, "another " * 3)], "doc_id long, text string"))
+    runs = repeats.repeated_runs(docs.repartition(8)).select(F.size("runs").alias("n")).collect()
+    assert [r.n for r in runs] and max(r.n for r in runs) <= 60 - 34
+    found = repeats.remove_repeats(docs.repartition(8)).groupBy("doc_id", "n_words", "n_removed").count()
+    assert sorted(map(tuple, found.collect())) == [(7, 60, 60, 20_000), (8, 61, 60, 1), (9, 3, 0, 1)]
+
+
+def test_equal_hashes_of_different_windows_are_told_apart():
+    import numpy as np
+
+    one, two = np.array([5, 5, 5, 9, 9]), np.array([1, 2, 1, 3, 3])
+    codes = repeats._equal(one, two)
+    assert (codes[:, None] == codes).tolist() == [[(a, b) == (c, d) for c, d in zip(one, two)] for a, b in zip(one, two)]
+
+
 def test_repeated_rows_and_empty_tables(spark):
     text = " ".join(map(str, range(40)))
     docs = documents(spark, [(1, text, "s"), (1, text, "s"), (None, "short", "s"), (None, None, "s")])
@@ -196,6 +250,47 @@ def test_top_k_of_few_rows(spark):
     assert [tuple(r) for r in topk.top_k(two).collect()] == [(0, 1, 1, 256 * 512)]
 
 
+def test_large_components_are_exact_whole_numbers(spark):
+    """Scores beyond 64 bits count as the bounds, whatever the shards."""
+    vectors = [(0, [1e15, 1.0]), (1, [1e15, 2.0]), (2, [1e15, 1.0]), (3, [-1e15, 0.0]), (4, [1e300, 0.0]), (5, [3.0, 3.0]), (6, [0.0, 1e7])]
+    df = spark.createDataFrame(vectors, "vec_id long, embedding array<double>")
+    top = 2**63 - 1
+    want = [(1, top), (2, top), (4, top), (5, top), (6, 256 * 256 * 10**7), (3, -top - 1)]
+    for shard_rows in (None, 2):
+        for k in (2, 6):
+            got = [(r.vec_id, r.score) for r in topk.top_k(df, k=k, shard_rows=shard_rows).orderBy("rank").collect()]
+            assert got == want[:k]
+
+
+def test_the_threshold_rises_from_chunk_to_chunk(monkeypatch):
+    """Candidates in falling order: after the first chunk hardly any is probed to the end."""
+    n = 4000
+    vectors = np.zeros((n, 24))
+    vectors[:, 0] = np.arange(n)
+    vectors[:, 1:] = np.arange(n * 23).reshape(n, 23) % 7
+    shard = topk.Shard(np.arange(n), np.arange(n), vectors)
+    query = np.array([100.0] + [1.0] * 23)
+    ended, least = [], []
+    real = topk.Shard._competitive
+
+    def counted(self, alive, *args):
+        found = real(self, alive, *args)
+        ended.append(len(found[0]))
+        least.append(args[-1])
+        return found
+
+    monkeypatch.setattr(topk.Shard, "_competitive", counted)
+    monkeypatch.setattr(topk, "CHUNK_ROWS", 500)
+    ids, scores = shard.search(-1, query, 5)
+    want = np.lexsort((np.arange(n), -(vectors @ query)))[:5]
+    assert ids.tolist() == want.tolist() and scores.tolist() == (vectors @ query)[want].tolist()
+    assert least[0] is None and least[1:] == sorted(least[1:]) and least[1] < least[-1]
+    descending = topk.Shard(np.arange(n), np.arange(n), vectors[::-1].copy())
+    ended.clear()
+    descending.search(-1, query, 5)
+    assert sum(ended[1:]) < 10
+
+
 def test_rows_of_one_id_are_spread_over_shards(spark, monkeypatch):
     most = spark.sparkContext.accumulator(0)
     real = topk._best

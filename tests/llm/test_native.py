@@ -47,6 +47,29 @@ def test_hosts_are_shrunk_towards_their_domain(spark):
     assert {r.host for r in verdicts if r.verdict == "block"} == {"bad.a.com", "y.b.org"}
 
 
+@pytest.mark.parametrize("host, site, suffix, domain", [
+    ("a.b.example.co.uk:8080", "a.b.example.co.uk", "co.uk", "example.co.uk"),
+    ("me:pw@shop.example.com", "shop.example.com", "com", "example.com"),
+    ("example.com", "example.com", "com", "example.com"),
+    ("co.uk", "co.uk", "co.uk", "co.uk"),
+    ("localhost:1", "localhost", "localhost", "localhost"),
+    ("", "", "", ""),
+])
+def test_sites_suffixes_and_domains(spark, host, site, suffix, domain):
+    row = spark.createDataFrame([(host,)], "host string").select(reputation.site_of(F.col("host")).alias("site"))
+    found = row.select("site", *[c.alias(n) for n, c in zip(("suffix", "domain"), reputation.suffix_and_domain(F.col("site")))]).first()
+    assert tuple(found) == (site, suffix, domain)
+
+
+def test_names_below_a_shared_suffix_do_not_share_a_reputation(spark):
+    """All of co.uk is no domain: a host without many pages follows its own one, whatever its port."""
+    seen = [("a.bad.co.uk", 1)] * 60 + [("b.good.co.uk", 0)] * 400 + [("bad.org", 0)] * 50 + [("x.good.org", 0)] * 50
+    outcomes = spark.createDataFrame(seen, "host string, bad int")
+    pages = spark.createDataFrame([(1, "http://a.bad.co.uk:81/"), (2, "http://u@b.good.co.uk/"), (3, "http://bad.org/")], "page_id long, url string")
+    got = {r.page_id: (r.host, r.verdict) for r in reputation.judge(pages, outcomes, []).collect()}
+    assert got == {1: ("a.bad.co.uk:81", "block"), 2: ("u@b.good.co.uk", "allow"), 3: ("bad.org", "allow")}
+
+
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 
 
@@ -80,6 +103,68 @@ def test_base_spans(spark):
     assert secrets.scan(docs.limit(0), secrets.learn(docs.limit(0))).count() == 0
 
 
+def plain_model(texts):
+    """The two Markov models, counted in plain Python."""
+    import math
+    from collections import Counter
+
+    counts = {True: Counter(), False: Counter()}
+
+    def add(random, string):
+        for a, b in zip(" " + string, string):
+            counts[random][a, b] += 1
+
+    for text in texts:
+        if text is None:
+            continue
+        for m in ASSIGN.finditer(text):
+            if len(m.group(2)) >= 6:
+                add(True, m.group(2))
+        for pattern in (secrets.ACCESS, secrets.HEX):
+            for found in re.findall(pattern, text):
+                add(True, found)
+        for pattern in (ASSIGN, secrets.ACCESS, secrets.HEX):
+            text = re.sub(pattern, " ", text)
+        for word in re.findall("[A-Za-z0-9+/_=-]{6,}", text):
+            if len(word) < 20:
+                add(False, word)
+    alphabet = " " + secrets.ALPHABET
+    place = {c: i for i, c in enumerate(alphabet)}
+
+    def logs(random):
+        totals = Counter()
+        grid = Counter()
+        for (a, b), n in counts[random].items():
+            totals[place.get(a, 0)] += n
+            grid[place.get(a, 0), place.get(b, 0)] += n
+        return {(a, b): math.log((grid[a, b] + 1) / (totals[a] + len(alphabet))) for a in range(len(alphabet)) for b in range(len(alphabet))}
+
+    random, ordinary = logs(True), logs(False)
+    return {k: random[k] - ordinary[k] for k in random}, place
+
+
+def plain_spans(text, ratios, place, least):
+    base = base_spans(text)
+    added = []
+    for m in re.finditer(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}", text or ""):
+        codes = [0, *(place[c] for c in m.group())]
+        mean = sum(round(ratios[a, b], 6) for a, b in zip(codes, codes[1:])) / len(m.group())
+        if mean >= least and all(e <= m.start() or m.end() <= s for s, _, e in base):
+            added.append((m.start(), 3, m.end()))
+    return sorted(base + added)
+
+
+def test_all_spans_are_those_of_a_plain_model(spark):
+    docs = queries.table(spark, "/root/testdata/sf0.01", "documents")
+    extra = [(10_000 + i, t) for i, t in enumerate(["key zq9X7kP2vL4mT8wR1nB6cY3d end", "http://ththe.example.org/thtion/thering-the-thousand", *SECRETS])]
+    docs = docs.select("doc_id", "text").unionAll(spark.createDataFrame(extra, "doc_id long, text string"))
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    model = plain_model(texts.values())
+    got = {r.doc_id: r.spans for r in secrets.scan(docs, secrets.learn(docs)).collect()}
+    assert got == {i: listed(plain_spans(t, *model, secrets.LEAST_MEAN_RATIO)) for i, t in texts.items()}
+    assert got[10_000] == "random:4:28"
+
+
 def test_base_spans_of_a_table(spark):
     docs = queries.table(spark, "/root/testdata/sf0.01", "documents")
     texts = {r.doc_id: r.text for r in docs.collect()}
@@ -186,3 +271,44 @@ def test_native_queries_run_no_python(spark, small):
     for query in (queries.op8_secret_scan, queries.op10_source_mix, queries.op2_url_reputation):
         plan = query(spark, small)._jdf.queryExecution().executedPlan().toString()
         assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_documents_of_a_source_have_chances_of_their_own(spark):
+    """Within a source the order of the ranks is not that of the random numbers, and longer documents are likelier."""
+    docs = documents(spark, [(i, sizes(4 if i % 2 else 400), "s1") for i in range(4000)] + [(9000 + i, sizes(3000), f"s{i % 2 * 2}") for i in range(600)])
+    sized = docs.select(F.col("doc_id").alias("id"), "source", mixing.size_of(F.col("text")).alias("size"))
+    sized = sized.withColumn("chance", F.floor(16 * F.sqrt("size")).cast("long")).withColumn("u", mixing.uniform(F.col("id"), F.col("size"), F.lit(0)))
+    left = mixing.chances(sized, mixing.targets(sized))
+    ranked = mixing._ranked(sized, left).where("source = 's1' and rank is not null").collect()
+    by_number, by_rank = (lambda r: r.u), (lambda r: (r["rank"], r.u))
+    assert len(ranked) == 4000 and sorted(ranked, key=by_number) != sorted(ranked, key=by_rank)
+    for size in (4, 400):
+        same = [r for r in ranked if r["size"] == size]
+        assert sorted(same, key=by_number) == sorted(same, key=by_rank)
+    taken = mixing.taken(docs).where("source = 's1'").groupBy("size", "target").agg(F.avg("copies").alias("share"), F.sum(F.col("copies") * F.col("size")).alias("taken"))
+    found = {r["size"]: r for r in taken.collect()}
+    assert found[400].share > found[4].share > 0
+    assert abs(found[400].taken + found[4].taken - found[4].target) <= 200
+
+
+def test_chances_of_one_and_more_are_certain(spark):
+    """One document has nearly all words; a source without whole copies may still be sure to take it."""
+    sized = spark.createDataFrame([("a", 10_000, 1600)] + [("a", 1, 16)] * 2000, "source string, size long, chance long")
+    wanted = spark.createDataFrame([("a", 12_000, 11_000.0, 0, 11_000.0)], "source string, source_size long, target double, copies long, rest double")
+    left = mixing.chances(sized, wanted).first()
+    assert (left.sure, left.rest, left.scale) == (16, 1000.0, 32_000.0)
+
+
+def test_rows_of_one_id_are_spread(spark):
+    """A third of all rows is one row, another one id: each has a random number of its own, and the words still meet the target."""
+    docs = documents(spark, [(1, sizes(10), "s0")] * 1500 + [(2, sizes(1 + i % 40), "s0") for i in range(1500)] + [(10 + i, sizes(30), f"s{i % 3}") for i in range(1500)]).repartition(6)
+    sized = docs.select(F.col("doc_id").alias("id"), "source", mixing.size_of(F.col("text")).alias("size"))
+    numbered = mixing._numbered(sized)
+    assert numbered.count() == 4500
+    assert numbered.groupBy("id", "source", "size").agg(F.count_distinct("copy").alias("n"), F.max("copy").alias("m"), F.count(F.lit(1)).alias("c")).where("n <> c or m <> c - 1").count() == 0
+    found = mixing.taken(docs).cache()
+    assert found.where("id = 1").select("copies").distinct().count() == 2
+    assert found.exceptAll(mixing.taken(docs.coalesce(2))).count() == 0
+    for r in found.groupBy("source").agg(F.sum(F.col("copies") * F.col("size")).alias("taken"), F.max("target").alias("target")).collect():
+        assert abs(r.taken - r.target) <= 20
+    assert mixing.mix(docs).count() == found.agg(F.sum("copies")).first()[0]

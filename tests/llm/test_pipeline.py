@@ -3,7 +3,7 @@
 import importlib
 
 import pytest
-from helpers import digest
+from helpers import clashing, digest
 from oracle_check import connect, differences
 from test_joins import brute_classes
 from test_native import base_spans
@@ -23,7 +23,7 @@ def test_query_equals_oracle(spark, small, name):
 
 def test_every_operator_and_the_pipeline_are_registered():
     names = registered.queries()
-    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{i}" for i in range(1, 14)}
     assert set(queries.QUERIES) | {"pipeline"} <= set(names)
     assert set(queries.ORACLES) <= set(registered.oracle_sql())
 
@@ -79,6 +79,30 @@ def test_the_mix_repeats_whole_documents(stages):
 
 def test_tokens_are_those_of_the_library(stages):
     library = Tokenizer.from_file(queries.vocabulary("word_bpe_49k.json"))
-    texts = [(r.doc_id, r.text) for r in stages["mix"].collect()]
-    want = sorted((i, digest(" ".join(map(str, library.encode(t, add_special_tokens=False).ids)))) for i, t in texts)
-    assert sorted((r.doc_id, r.ids_sha256) for r in stages["tokens"].collect()) == want
+    want = sorted((r.doc_id, library.encode(r.text, add_special_tokens=False).ids) for r in stages["mix"].collect())
+    found = stages["tokens"].collect()
+    assert sorted((r.doc_id, r.token_ids) for r in found) == want
+    assert all(r.ids_sha256 == digest(" ".join(map(str, r.token_ids))) and r.n_tokens == len(r.token_ids) for r in found)
+
+
+def test_odd_documents_pass_all_stages(spark, stages):
+    """Nulls in any column, empty texts, repeated rows, and columns of names that stages use."""
+    pipeline = importlib.import_module("corpus_pipeline")
+    good = [r for r in stages["mix"].limit(3).collect()]
+    rows_ = [tuple(r) for r in good] * 2 + [(None, good[0].text + " other end", None, None, None), (5, None, "en", "a", 0), (6, "", None, "a", 0)]
+    docs = clashing(spark.createDataFrame(rows_, stages["documents"].schema))
+    for name, stage in pipeline.STAGES:
+        out = pipeline.written(stage(spark, docs, SF), name)
+        if name != "tokens":
+            assert out.columns == docs.columns, name
+        docs = out
+    assert {r.doc_id for r in docs.collect()} <= {r.doc_id for r in good} | {None}
+
+
+def test_an_empty_table_passes_all_stages(spark, stages):
+    pipeline = importlib.import_module("corpus_pipeline")
+    docs = stages["documents"].limit(0)
+    for name, stage in pipeline.STAGES:
+        docs = pipeline.written(stage(spark, docs, SF), name)
+        assert docs.count() == 0
+    assert "token_ids" in docs.columns
