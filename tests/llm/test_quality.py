@@ -150,6 +150,101 @@ def test_clauses(text, want):
     assert kinds(text) == want
 
 
+@pytest.mark.parametrize("text, weight", [
+    ("I will find you", 3.0), ("we are going to hunt them", 3.0), ("ich werde dich finden", 3.0), ("je vais te trouver", 3.0), ("yo voy a encontrar a ellos", 3.0),
+    ("I will kill you", 3.0), ("kill yourself", 3.0), ("te voy a matar", 3.0), ("I will kill the lights", 1.0),
+    ("find you", 0.0), ("you will find the door", 0.0), ("I found you", 0.0), ("I will find the door. you", 0.0), ("I find you", 0.0),
+])
+def test_threats_are_clauses(text, weight):
+    found = toxicity.Matcher(LEXICON).features(text)
+    threats = [found[i] for i, m in enumerate(toxicity.MATCHES) if m[0] == toxicity.THREAT]
+    assert sum(threats) * toxicity.UNIT == weight
+
+
+@pytest.mark.parametrize("text, factor", [
+    ("you idiot", 1.25), ("you are an idiot", 1.25), ("you are such a complete idiot", 1.25), ("du bist ein idiot", 1.25),
+    ("an idiot", 1.0), ("you saw the man and the idiot", 1.0), ("idiot you", 1.0),
+])
+def test_insults_are_said_of_somebody(text, factor):
+    assert toxicity.Matcher(LEXICON).features(text).sum() * toxicity.UNIT == pytest.approx(5.0 * factor)
+
+
+def plain_features(text, lexicon):
+    """The five readings of each clause one after the other, without a table of states."""
+    import re
+
+    out = [0.0] * len(toxicity.MATCHES)
+    quoted = False
+    clause = []
+    for token in [*re.findall(r"[^\W\d_]+|[.,;:!?\n\"“”«»„]", (text or "").lower()), "."]:
+        if token in toxicity.QUOTES:
+            quoted = not quoted
+        elif token not in toxicity.CLAUSE_ENDS:
+            clause.append((*lexicon.classify(token), quoted))
+        else:
+            kinds = [k for k, _, _ in clause]
+            aimed = int(toxicity.TARGET in kinds)
+            for i, (kind, weight, inside) in enumerate(clause):
+                before = kinds[:i]
+                negated = int(toxicity.NEGATION in before[-3:])
+                reported = int(toxicity.REPORT in before or inside)
+                named = toxicity.TARGET in before
+                factor = 0.0
+                if kind == toxicity.INSULT:
+                    # Back to somebody: over fillers, and over single other words that stand behind a filler.
+                    said, k, gap = False, i - 1, 0
+                    while k >= 0:
+                        if kinds[k] == toxicity.TARGET:
+                            said = not gap or kinds[k + 1] in (toxicity.COPULA, toxicity.FILLER)
+                            break
+                        if kinds[k] in (toxicity.COPULA, toxicity.FILLER):
+                            gap = 0 if gap <= 1 else gap
+                        elif kinds[k] == toxicity.INSULT or gap:
+                            break
+                        else:
+                            gap = 1
+                            if k and kinds[k - 1] not in (toxicity.COPULA, toxicity.FILLER):
+                                break
+                        k -= 1
+                    out[toxicity.MATCHES.index((toxicity.INSULT, negated, reported, aimed))] += weight * (1.25 if said else 1.0)
+                elif kind == toxicity.HARM:
+                    factor = 3.0 if named else 1.0
+                elif kind in (toxicity.SEEK, toxicity.TARGET):
+                    state = 0
+                    for n, k in enumerate(before):
+                        there = toxicity.TARGET in kinds[:n]
+                        if k == toxicity.HARM:
+                            state = 0 if there else 3
+                        elif k == toxicity.SEEK and state == 2:
+                            state = 0 if there else 4
+                        elif k == toxicity.TARGET and state > 2:
+                            state = 0
+                        elif k == toxicity.SPEAKER and state == 0:
+                            state = 1
+                        elif k == toxicity.INTENT and state == 1:
+                            state = 2
+                    if kind == toxicity.SEEK:
+                        factor = 3.0 if state == 2 and named else 0.0
+                    else:
+                        factor = {3: 2.0, 4: 3.0}.get(state, 0.0)
+                if factor:
+                    out[toxicity.MATCHES.index((toxicity.THREAT, negated, reported, aimed))] += factor
+            clause = []
+            if token == "\n":
+                quoted = False
+    return [min(x, toxicity.ENOUGH) / toxicity.UNIT for x in out]
+
+
+def test_the_composed_table_reads_as_five_readers_would():
+    import random
+
+    rng = random.Random(8)
+    words = ["idiot", "you", "not", "said", "kill", "i", "will", "find", "are", "a", "tree", "Loweiig", ".", ",", "\n", '"']
+    for _ in range(3000):
+        text = " ".join(rng.choice(words) for _ in range(rng.randrange(1, 14)))
+        assert toxicity.Matcher(LEXICON).features(text).tolist() == pytest.approx(plain_features(text, LEXICON)), text
+
+
 def test_texts_that_only_share_a_word_all_count(spark):
     """Every toxic text holds the word with the least hash, half of them one insult and half another."""
     def text(i, *more):

@@ -1,10 +1,11 @@
 """Toxicity by a weighted finite-state grammar over clauses.
 
-Five small transducers read the words of a clause: one marks insults, one
-threats, one whether somebody is addressed, one whether a negation stands
-before, one whether the clause reports what somebody else said.  Composed, they
-are a single table of states; every insult or threat leaves its weight under the
-kind of match the state stands for (negated, reported, aimed at somebody), so
+Five small transducers read the words of a clause.  One marks insults, more strongly where
+the clause says of somebody that they are one.  One marks threats: a verb of harm, which counts whole once it
+has somebody to be done to, or somebody who says they will find another.  One tells whether somebody is addressed, one whether a
+negation stands before, one whether the clause reports what somebody else said.  Composed, they
+are a single table of states, whose transitions have the outputs of the first two; every
+match leaves its weight under the kind the state stands for (negated, reported, aimed at somebody), so
 that a clause is judged, not an isolated word.  A text's score is a logistic
 function of the weights gathered per kind.
 
@@ -15,7 +16,8 @@ labelled rows, the first by a hash of the row; every row is scored.
 
 Defined results: a null or empty text, or one without a match, gets the score of
 "nothing found".  Without labelled rows of both classes no insult is known.
-Ties, repeated rows and extra columns do not matter.
+Ties, repeated rows and extra columns do not matter; an empty table gives no rows.  A very long text is a
+block by itself.
 """
 
 from __future__ import annotations
@@ -27,6 +29,7 @@ from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from hashlib import blake2b
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -34,9 +37,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .text import blocks
 
-# Bounds of the learning sample and of the learned lexicon.
+# Bound of the learning sample, which also bounds the learned lexicon.
 SAMPLE_ROWS = 12_000
-LEXICON_SIZE = 2_000
 
 # A term may enter the lexicon if so large a share of the toxic texts, and so many, hold it,
 # and toxic texts hold it so many times as often as others (as a logarithm).
@@ -69,10 +71,16 @@ TOXIC_FROM = 0.3
 CACHE_WORDS = 300_000
 
 # Classes of words.
-OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT = range(6)
+OTHER, INSULT, HARM, TARGET, NEGATION, REPORT, SPEAKER, INTENT, SEEK, COPULA, FILLER = range(11)
+CLASSES = 11
 
 # Words of each class in the languages of the corpus.
-THREATS = "kill hurt destroy strangle töten umbringen vernichten tuer détruire matar destruir".split()
+HARMS = "kill hurt destroy strangle töten umbringen vernichten tuer détruire matar destruir".split()
+SEEKS = "find get hunt catch finden kriegen holen jagen trouver attraper encontrar buscar atrapar".split()
+SPEAKERS = "i we ich wir je j nous yo nosotros".split()
+INTENTS = "will shall gonna going ll werde werden vais allons voy vamos".split()
+COPULAS = "are re is was bist seid ist es est êtes eres sois son".split()
+FILLERS = "a an the such so really very just total totally ein eine einen so echt nur un une si vraiment una tan muy".split()
 TARGETS = "you your yours yourself u he she they them du dich dir ihr euch sie tu te toi vous il elle ils tú te ti usted ustedes ellos".split()
 NEGATIONS = "not never no neither nicht nie kein keine keinen ne pas jamais aucun nunca jamás ningún".split()
 REPORTS = "said says wrote claimed called quoted sagte sagt schrieb nannte dit écrit appelé dijo dice escribió llamó".split()
@@ -86,8 +94,14 @@ TOKEN = re.compile(rf"[^\W\d_]+|[{re.escape(CLAUSE_ENDS + QUOTES)}]")
 LETTERS = re.compile(r"[^\W\d_]+")
 
 # Kinds of match: insult or threat, times negated, reported, aimed at somebody.
+THREAT = HARM
 MATCHES = list(itertools.product((INSULT, THREAT), (0, 1), (0, 1), (0, 1)))
 
+# How much more an insult counts that somebody is said to be, and what a threat counts: a verb of harm by
+# itself, and with somebody it is aimed at.
+SAID_TO_BE = 1.25
+HARM_ALONE, HARM_AIMED = 1.0, 3.0
+
 # What the learned weights of the kinds are pulled towards: a plain match counts 3,
 # one that is negated or reported less, one aimed at somebody more.
 PRIOR = 3 * np.array([(1.0 - 0.3 * n - 0.3 * r + 0.2 * t) for _, n, r, t in MATCHES])
@@ -109,19 +123,68 @@ def _target(state: int, kind: int) -> int:
     return 1 if kind == TARGET else state
 
 
-def compose() -> tuple[dict[tuple[int, int], int], dict[int, tuple[int, int, int]]]:
-    """The product of the three transducers: next state by (state, class), and what a state says."""
-    states = list(itertools.product(range(NEGATION_REACH + 1), (0, 1), (0, 1)))
-    number = {s: i for i, s in enumerate(states)}
-    table = {
-        (number[n, r, t], kind): number[_negation(n, kind), _report(r, kind), _target(t, kind)]
-        for n, r, t in states
-        for kind in range(6)
-    }
-    return table, {i: (int(n > 0), r, t) for (n, r, t), i in number.items()}
+def _insult(state: int, kind: int) -> tuple[int, float]:
+    """Where an insult would be said of somebody (1: after them, 2: after "are a", 3: one word further), and its factor."""
+    if kind == INSULT:
+        return 0, SAID_TO_BE if state else 1.0
+    if kind == TARGET:
+        return 1, 0.0
+    if state and kind in (COPULA, FILLER):
+        return 2, 0.0
+    return (3 if state == 2 else 0), 0.0
+
 
+def _threat(state: int, kind: int, target: int) -> tuple[int, float]:
+    """How far a threat has come (1: a speaker, 2: who means to, 3: harm, 4: a search), and what it counts for now.
 
-NEXT, SAYS = compose()
+    Harm counts a little by itself and the rest once somebody was or is named; a search counts only if the
+    speaker means it, and only with somebody named.
+    """
+    if kind == HARM:
+        return (0, HARM_AIMED) if target else (3, HARM_ALONE)
+    if kind == SEEK and state == 2:
+        return (0, HARM_AIMED) if target else (4, 0.0)
+    if kind == TARGET:
+        return (state if state < 3 else 0), {3: HARM_AIMED - HARM_ALONE, 4: HARM_AIMED}.get(state, 0.0)
+    if kind == SPEAKER:
+        return max(state, 1), 0.0
+    if kind == INTENT and state == 1:
+        return 2, 0.0
+    return state, 0.0
+
+
+class State(NamedTuple):
+    """One state of each transducer."""
+
+    negation: int = 0
+    report: int = 0
+    target: int = 0
+    insult: int = 0
+    threat: int = 0
+
+    def after(self, kind: int) -> tuple["State", float, float]:
+        """The state after a word of a class, and the factors of an insult and of a threat that it completes."""
+        insult, insulted = _insult(self.insult, kind)
+        threat, threatened = _threat(self.threat, kind, self.target)
+        return State(_negation(self.negation, kind), _report(self.report, kind), _target(self.target, kind), insult, threat), insulted, threatened
+
+
+def compose() -> tuple[list[State], list[list[tuple[int, float, float]]]]:
+    """The product of the transducers: the states that can be reached, and by state and class the next one and its outputs."""
+    states, number, table = [State()], {State(): 0}, []
+    while len(table) < len(states):
+        row = []
+        for kind in range(CLASSES):
+            after, insulted, threatened = states[len(table)].after(kind)
+            if after not in number:
+                number[after] = len(states)
+                states.append(after)
+            row.append((number[after], insulted, threatened))
+        table.append(row)
+    return states, table
+
+
+STATES, NEXT = compose()
 
 
 @dataclass(frozen=True)
@@ -141,8 +204,12 @@ class Lexicon:
         return _FIXED.get(word, (OTHER, 0.0))
 
 
-_FIXED = {w: (kind, 1.0) for kind, words in ((TARGET, TARGETS), (NEGATION, NEGATIONS), (REPORT, REPORTS)) for w in words}
-_FIXED |= {w: (THREAT, 3.0) for w in THREATS}
+_WORDS = {
+    FILLER: FILLERS, COPULA: COPULAS, SEEK: SEEKS, INTENT: INTENTS, SPEAKER: SPEAKERS, HARM: HARMS,
+    REPORT: REPORTS, NEGATION: NEGATIONS, TARGET: TARGETS,
+}
+# A word of several classes is of the last one.
+_FIXED = {w: (kind, 1.0) for kind, words in _WORDS.items() for w in words}
 
 
 class Matcher:
@@ -150,10 +217,12 @@ class Matcher:
 
     def __init__(self, lexicon: Lexicon):
         self.lexicon = lexicon
-        self.hit: dict[bytes, bool] = {}
+        self.hit: dict[bytes, int] = {}
 
-    def _hits(self, word: bytes) -> bool:
-        found = any(self.lexicon.classify(w)[0] in (INSULT, THREAT) for w in LETTERS.findall(word.decode().lower()))
+    def _hits(self, word: bytes) -> int:
+        """What a word can be part of: 1 a match by itself, 2 and 4 a search and what it needs."""
+        kinds = {self.lexicon.classify(w)[0] for w in LETTERS.findall(word.decode().lower())}
+        found = (1 if kinds & {INSULT, HARM} else 0) | (2 if SEEK in kinds else 0) | (4 if INTENT in kinds else 0)
         if len(self.hit) >= CACHE_WORDS:
             self.hit.clear()
         self.hit[word] = found
@@ -161,10 +230,11 @@ class Matcher:
 
     def features(self, text: str | None) -> np.ndarray:
         """Gathered weight per kind of match."""
-        hit = self.hit
+        hit, seen = self.hit, 0
         for word in set(text.encode().split()) if text else ():
             found = hit.get(word)
-            if found or (found is None and self._hits(word)):
+            seen |= self._hits(word) if found is None else found
+            if seen & 1 or seen >= 6:
                 return self._scan(text)
         return np.zeros(len(MATCHES))
 
@@ -173,9 +243,8 @@ class Matcher:
         state, quoted, open_matches = 0, 0, []
 
         def close() -> None:
-            _, _, aimed = SAYS[state]
             for kind, negated, reported, weight in open_matches:
-                out[MATCHES.index((kind, negated, reported, aimed))] += weight
+                out[MATCHES.index((kind, negated, reported, STATES[state].target))] += weight
             open_matches.clear()
 
         for token in TOKEN.findall(text.lower()):
@@ -188,10 +257,14 @@ class Matcher:
                 quoted = 1 - quoted
             else:
                 kind, weight = self.lexicon.classify(token)
-                if kind in (INSULT, THREAT):
-                    negated, reported, _ = SAYS[state]
-                    open_matches.append((kind, negated, reported | quoted, weight))
-                state = NEXT[state, kind]
+                after, insulted, threatened = NEXT[state][kind]
+                if insulted or threatened:
+                    negated, reported = int(STATES[state].negation > 0), STATES[state].report | quoted
+                    if insulted:
+                        open_matches.append((INSULT, negated, reported, insulted * weight))
+                    if threatened:
+                        open_matches.append((THREAT, negated, reported, threatened))
+                state = after
         close()
         return np.minimum(out, ENOUGH) / UNIT
 
@@ -309,16 +382,18 @@ def learn_lexicon(sample: DataFrame) -> Lexicon:
         .select("term", "a", ratio.alias("weight"))
         .where(F.col("weight") >= min(LEAST_LOG_RATIO, 0.7 * math.log(2.0 * (clean + 1))))
         .orderBy(F.desc("a"), "term")
-        .limit(LEXICON_SIZE)
         .collect()
     )
+    # Each of these is in a share of the sample's toxic texts, so there are at most some terms of a text over that share.
     weight = {r.term: float(r.weight) for r in found}
+    known = F.broadcast(sample.sparkSession.createDataFrame([(t,) for t in sorted(weight)], "term string"))
     # Which of these terms each text of the sample holds.
-    held = once_weighed.select("label", "share", F.array_intersect("terms", F.lit(sorted(weight)).cast("array<string>")).alias("held"))
+    held = once_weighed.select("key", "label", "share", F.explode("terms").alias("term")).join(known, "term")
+    held = held.groupBy("key", "label", "share").agg(F.collect_set("term").alias("held"))
     texts_of: dict[str, set[int]] = {t: set() for t in weight}
     shares: dict[int, int] = {}
     clean_of: Counter = Counter()
-    for i, r in enumerate(held.where(F.size("held") > 0).collect()):
+    for i, r in enumerate(held.collect()):
         shares[i] = r.share
         for term in r.held:
             if r.label:
