@@ -182,6 +182,7 @@ def test_repeated_passages(spark, monkeypatch, block, most):
     """Small blocks resolve in the shuffle what large ones resolve in the task; small groups have their prefixes extended."""
     monkeypatch.setattr(repeats, "BLOCK", block)
     monkeypatch.setattr(repeats, "GROUP_RUNS", most)
+    monkeypatch.setattr(repeats, "HELD_ROWS", 3 if most == 1 else repeats.HELD_ROWS)
     rng = random.Random(block)
     passage = " ".join(f"p{i}" for i in range(50))
     texts = mixed_corpus(4) + ["be " * 400, "x " + passage + " y", passage, passage + " " + passage, "é " * 36]
@@ -202,6 +203,25 @@ def test_many_equal_rows_are_linear(spark):
     assert sorted(map(tuple, found.collect())) == [(7, 60, 60, 20_000), (8, 61, 60, 1), (9, 3, 0, 1)]
 
 
+def test_subtrees_compare_words_not_keys():
+    """One key for all rows: nodes part them, and every window's count is that of plain Python."""
+    import numpy as np
+
+    rng = random.Random(6)
+    width, texts, offsets, counts = 6, [], [], []
+    for _ in range(80):
+        n = rng.randrange(1, 4)
+        texts.append(" ".join(rng.choice("ab") for _ in range(n + width - 1)).encode())
+        counts.append(n)
+        offsets.append(rng.randrange(n - 1, n + 2))
+    tree = repeats.Subtrees(np.zeros(80, dtype=np.int64), np.array(offsets), np.array(counts), texts, width)
+    seen = Counter((o - i, tuple(t.split()[i : i + width])) for t, o, n in zip(texts, offsets, counts) for i in range(n))
+    want = [(r, i) for r, (t, o, n) in enumerate(zip(texts, offsets, counts)) for i in range(n) if seen[o - i, tuple(t.split()[i : i + width])] > 1]
+    assert list(zip(*(x.tolist() for x in tree.repeated()))) == want
+    deep = [len(np.unique(level[level >= 0])) for level in tree.after]
+    assert deep[0] == 1 and max(deep) > 2
+
+
 def test_equal_hashes_of_different_windows_are_told_apart():
     import numpy as np
 
