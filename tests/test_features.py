@@ -133,6 +133,32 @@ def test_row_parity(spark):
         checks.require_row_parity(counts, counts | {date(2024, 2, 1): 2, None: 1}, "t")
 
 
+@pytest.mark.parametrize("bits", [1 << 16, checks.FILTER_BITS])
+def test_keys_that_miss_the_filter_are_in_no_table(spark, bits):
+    """A full filter tells nothing, a roomy one nearly all; neither loses a key."""
+    held = spark.range(0, 40_000, 2).select(F.col("id").cast("string").alias("customer_id"), F.lit("2024-01-01").cast("date").alias("snapshot_date"))
+    asked = spark.range(40_000).select(F.col("id").cast("string").alias("customer_id"), F.lit("2024-01-01").cast("date").alias("snapshot_date"))
+    found = checks.with_membership(asked, checks.membership(held, bits=bits), bits=bits)
+    assert found.columns == ["customer_id", "snapshot_date", "may_match"]
+    missed = found.filter("not may_match")
+    assert missed.join(held, FEATURE_KEY, "left_semi").count() == 0
+    assert found.count() == 40_000 and missed.count() >= (19_900 if bits == checks.FILTER_BITS else 10_000)
+    null = asked.limit(1).withColumn("customer_id", F.lit(None).cast("string"))
+    assert checks.with_membership(null, checks.membership(null)).first().may_match is False
+
+
+@pytest.mark.parametrize("unique", [False, True])
+def test_unmatched_keys_of_tables_with_their_grain(spark, unique, monkeypatch):
+    monkeypatch.setattr(checks, "FILTER_BITS", 1 << 16)
+    day = F.lit("2024-01-01").cast("date").alias("snapshot_date")
+    left = spark.range(0, 3000).select(F.col("id").cast("string").alias("customer_id"), day)
+    right = spark.range(2000, 9000).select(F.col("id").cast("string").alias("customer_id"), day)
+    found = checks.unmatched_keys(left, right, "l", "r", unique=unique).groupBy("only_in").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("customer_id").alias("d"))
+    assert {(r.only_in, r.n, r.d) for r in found.collect()} == {("l", 2000, 2000), ("r", 6000, 6000)}
+    plan = checks.unmatched_keys(left, right, "l", "r", unique=True)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
 def test_unmatched_keys_treat_null_as_unmatched(spark):
     schema = "customer_id string, snapshot_date date"
     day = date(2024, 1, 1)

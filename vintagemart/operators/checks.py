@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -96,9 +97,59 @@ def key_sides(sides: Mapping[str, DataFrame], keys: Sequence[str] = FEATURE_KEY)
     )
 
 
-def unmatched_keys(left: DataFrame, right: DataFrame, left_name: str, right_name: str) -> DataFrame:
-    """Distinct keys that only one of two tables holds, and which table that is."""
-    sides = key_sides({left_name: left, right_name: right})
-    lonely = sides.filter(F.col(left_name) != F.col(right_name))
+# Bits of a membership filter: 8 MB, whatever it is made of.  With far more keys than bits any key may be one
+# of them, and all are joined.
+FILTER_BITS = 1 << 26
+
+# Bits of a whole number, and numbers in one row of a filter.
+_WORD, _ROW = 64, 1024
+
+
+def membership(df: DataFrame, keys: Sequence[str] = FEATURE_KEY, bits: int = FILTER_BITS) -> DataFrame:
+    """The keys of a table as a fixed number of bits, in rows of whole numbers: (row, words).
+
+    Bits are put together in the tasks that read the keys; no key is shuffled.
+    """
+    slots = df.select(F.pmod(F.xxhash64(*keys), F.lit(bits)).alias("slot"))
+    marks = slots.selectExpr(f"slot div {_WORD} as word", f"shiftleft(1L, cast(slot % {_WORD} as int)) as mark")
+    # Every number is there, so that its place in its row is its index.
+    none = df.sparkSession.range(bits // _WORD).selectExpr("id as word", "0L as mark")
+    whole = marks.unionByName(none).groupBy("word").agg(F.bit_or("mark").alias("mark"))
+    rows = whole.groupBy(F.expr(f"word div {_ROW}").alias("row")).agg(F.sort_array(F.collect_list(F.struct("word", "mark"))).alias("words"))
+    return rows.select("row", F.col("words.mark").alias("words"))
+
+
+def with_membership(df: DataFrame, filter_: DataFrame, keys: Sequence[str] = FEATURE_KEY, bits: int = FILTER_BITS, name: str = "may_match") -> DataFrame:
+    """The rows, told apart by whether their key may be in the table the filter is made of.
+
+    Of those that may not none is; a key with a NULL matches nothing.  Nothing is shuffled.
+    """
+    slot = f"pmod(xxhash64({', '.join(f'`{k}`' for k in keys)}), {bits})"
+    placed = df.withColumn("_slot", F.expr(slot)).withColumn("row", F.expr(f"_slot div {_WORD * _ROW}"))
+    # FILTER_BITS bits.
+    met = placed.join(F.broadcast(filter_), "row", "left")
+    marked = F.expr(f"shiftright(get(words, cast(_slot div {_WORD} % {_ROW} as int)), cast(_slot % {_WORD} as int)) & 1L") == 1
+    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    return met.withColumn(name, F.coalesce(marked & known, F.lit(False))).drop("_slot", "row", "words")
+
+
+def unmatched_keys(left: DataFrame, right: DataFrame, left_name: str, right_name: str, *, unique: bool = False) -> DataFrame:
+    """Distinct keys that only one of two tables holds, and which table that is.
+
+    A key that misses the other table's membership filter is unmatched where it is read; only keys that may match
+    are brought together.  ``unique`` says that both tables have their grain, so that keys need not be made
+    distinct, which they otherwise are after their repetitions in a task are one.
+    """
+    sides = {left_name: left.select(*FEATURE_KEY), right_name: right.select(*FEATURE_KEY)}
+    met = {
+        name: with_membership(sides[name], membership(sides[other]))
+        for name, other in ((left_name, right_name), (right_name, left_name))
+    }
+    maybe = key_sides({name: df.filter("may_match") for name, df in met.items()})
+    lonely = maybe.filter(F.col(left_name) != F.col(right_name))
     only_in = F.when(F.col(left_name) == 1, left_name).otherwise(right_name)
-    return lonely.select(*FEATURE_KEY, only_in.alias("only_in"))
+    found = lonely.select(*FEATURE_KEY, only_in.alias("only_in"))
+    for name, df in met.items():
+        missed = df.filter("not may_match").select(*FEATURE_KEY, F.lit(name).alias("only_in"))
+        found = found.unionByName(missed if unique else missed.distinct())
+    return found

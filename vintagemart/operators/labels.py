@@ -10,8 +10,6 @@ from pyspark.sql import DataFrame, functions as F
 DEFAULT_DAYS_PAST_DUE = 30
 DEFAULT_MONTH_ON_BOOK = 6
 
-LABEL_COLUMNS = ["loan_id", "Customer_ID", "label", "label_def", "snapshot_date"]
-
 
 def label_tag(days_past_due: int, month_on_book: int) -> str:
     return f"{days_past_due}dpd_{month_on_book}mob"

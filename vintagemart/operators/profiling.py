@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions import is_missing_text
 from ..schemas import FEATURE_KEY
 from ..sources.scratch import written
-from .checks import key_sides
+from .checks import key_sides, membership, with_membership
 from .ordered import GROUP, VALUE, unpivot
 from .rules import RAW_PREFIX
 
@@ -495,8 +495,12 @@ def derived_summary(df: DataFrame, columns: Sequence[str], digits: int = 6) -> D
 # Coverage
 
 def coverage_by_snapshot(anchor: DataFrame, other: DataFrame) -> DataFrame:
-    """Per snapshot: distinct anchor keys, those the other table holds, and their share."""
-    sides = key_sides({"anchor": anchor, "other": other}).filter("anchor = 1")
+    """Per snapshot: distinct anchor keys, those the other table holds, and their share.
+
+    Of the other table, which may be far larger, only keys that may be the anchor's leave the tasks that read them.
+    """
+    wanted = with_membership(other.select(*FEATURE_KEY), membership(anchor)).filter("may_match")
+    sides = key_sides({"anchor": anchor, "other": wanted}).filter("anchor = 1")
     counts = sides.groupBy("snapshot_date").agg(
         F.count(F.lit(1)).alias("anchor_rows"), F.sum("other").alias("covered_rows")
     )
