@@ -31,12 +31,13 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import ArrayType, DataType, IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, DataType, IntegerType, LongType, StringType, StructField, StructType
 from tokenizers import Regex, Tokenizer, pre_tokenizers
 
-from .text import blocks
+from .text import blocks, hexdigest
 
 # The layout of a vocabulary file that this encoder can read.
 MODEL_TYPE = "BPE"
@@ -51,7 +52,7 @@ ROW_SYMBOLS = 4_000_000
 SHORT_LIST = 24
 
 # Bytes of text whose new runs are learned together, and rows whose ids are decoded together.
-LEARN_BYTES = 8 << 20
+LEARN_BYTES = 3 << 20
 DECODE_ROWS = 500
 
 # Fixed value: the first character after the Latin blocks, which no Unicode version changes.
@@ -299,6 +300,7 @@ class RunCache:
 
     def __init__(self, bpe: PairIndexBpe, limit: int = CACHE_RUNS):
         self.bpe, self.limit = bpe, limit
+        self.spelled = {i: str(i) for i in bpe.pieces}
         self.words: dict[str, bytes] = {}
         self.of: dict[str, bytes] = {}
 
@@ -337,6 +339,42 @@ def _cache(path: str) -> RunCache:
     return RunCache(PairIndexBpe(path))
 
 
+def _encode(batches: Iterator[pa.RecordBatch], path: str, ids_column: str) -> Iterator[pa.RecordBatch]:
+    """The batches with ids in place of the texts, which are the last column."""
+    cache = _cache(path)
+    for rows, texts in blocks(batches, "_read", LEARN_BYTES):
+        split = [cache.runs(t) if t else [] for t in texts]
+        cache.learn({r for doc in split for runs, _ in doc for r in runs if r})
+        of, found = cache.of, []
+        for doc in split:
+            parts: list[bytes] = []
+            for runs, special in doc:
+                if special is not None:
+                    parts.append(array("i", [special]).tobytes())
+                else:
+                    parts += [of[r] for r in runs if r]
+            found.append(b"".join(parts))
+        ends = np.cumsum([0, *map(len, found)]) // 4
+        ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(found), dtype=np.int32)))
+        yield pa.RecordBatch.from_arrays([*rows.columns[:-1], ids], names=[*rows.schema.names[:-1], ids_column])
+
+
+def _lists(ids: pa.ListArray) -> Iterator[list[int]]:
+    ends, flat = (ids.offsets.to_numpy() - ids.offsets[0].as_py()).tolist(), ids.flatten().to_pylist()
+    return (flat[a:b] for a, b in zip(ends[:-1], ends[1:]))
+
+
+def _decode(batches: Iterator[pa.RecordBatch], path: str, text_column: str, keep_ids: bool = False) -> Iterator[pa.RecordBatch]:
+    """The batches with texts in place of (or, to keep them, after) the ids, which are the last column."""
+    decode = _cache(path).bpe.decode
+    for batch in batches:
+        for start in range(0, batch.num_rows, DECODE_ROWS):
+            rows = batch.slice(start, DECODE_ROWS)
+            texts = pa.array(map(decode, _lists(rows.columns[-1])), pa.string())
+            kept = len(rows.columns) - (not keep_ids)
+            yield pa.RecordBatch.from_arrays([*rows.columns[:kept], texts], names=[*rows.schema.names[:kept], text_column])
+
+
 def _with_column(df: DataFrame, columns: list[str] | None, read: str, name: str, kind: DataType) -> tuple[DataFrame, StructType]:
     """The columns to carry along and the one to read, last; and the schema with the new column in its place."""
     kept = [c for c in (df.columns if columns is None else columns) if c != name]
@@ -346,58 +384,34 @@ def _with_column(df: DataFrame, columns: list[str] | None, read: str, name: str,
 
 def encoded(docs: DataFrame, path: str, *, text_column: str = "text", ids_column: str = "token_ids", columns: list[str] | None = None) -> DataFrame:
     """The rows (or the named columns of them) with an array of ids."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = _cache(path)
-        for rows, texts in blocks(batches, "_read", LEARN_BYTES):
-            split = [cache.runs(t) if t else [] for t in texts]
-            cache.learn({r for doc in split for runs, _ in doc for r in runs if r})
-            of, found = cache.of, []
-            for doc in split:
-                parts: list[bytes] = []
-                for runs, special in doc:
-                    if special is not None:
-                        parts.append(array("i", [special]).tobytes())
-                    else:
-                        parts += [of[r] for r in runs if r]
-                found.append(b"".join(parts))
-            ends = np.cumsum([0, *map(len, found)]) // 4
-            ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(found), dtype=np.int32)))
-            yield pa.RecordBatch.from_arrays([*rows.columns[:-1], ids], names=[*rows.schema.names[:-1], ids_column])
-
     wanted, schema = _with_column(docs, columns, text_column, ids_column, ArrayType(IntegerType(), False))
-    return wanted.mapInArrow(run, schema)
+    return wanted.mapInArrow(lambda batches: _encode(batches, path, ids_column), schema)
 
 
 def decoded(tokens: DataFrame, path: str, *, ids_column: str = "token_ids", text_column: str = "text", columns: list[str] | None = None) -> DataFrame:
     """The rows (or the named columns of them) with the text of their ids."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        decode = _cache(path).bpe.decode
-        for batch in batches:
-            for start in range(0, batch.num_rows, DECODE_ROWS):
-                rows = batch.slice(start, DECODE_ROWS)
-                ids = rows.columns[-1]
-                ends, flat = ids.offsets.to_numpy() - ids.offsets[0].as_py(), ids.flatten().to_pylist()
-                texts = pa.array([decode(flat[a:b]) for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())], pa.string())
-                yield pa.RecordBatch.from_arrays([*rows.columns[:-1], texts], names=[*rows.schema.names[:-1], text_column])
-
     wanted, schema = _with_column(tokens, columns, ids_column, text_column, StringType())
     none = F.array().cast("array<int>")
-    return wanted.withColumn("_read", F.coalesce("_read", none)).mapInArrow(run, schema)
+    return wanted.withColumn("_read", F.coalesce("_read", none)).mapInArrow(lambda batches: _decode(batches, path, text_column), schema)
 
 
 def round_trips(docs: DataFrame, path: str, *, id_column: str = "doc_id", text_column: str = "text", keep_ids: bool = False) -> DataFrame:
     """Every text encoded, and its ids decoded again: number of tokens, digests of ids and of the decoded text.
 
-    With ``keep_ids`` the ids themselves come last.
+    One worker does both, so that neither ids nor decoded texts cross over to another
+    one.  With ``keep_ids`` the ids themselves come last.
     """
-    tokens = encoded(docs, path, text_column=text_column, ids_column="token_ids", columns=[id_column])
-    both = decoded(tokens, path, text_column="decoded")
-    return both.select(
-        id_column,
-        F.size("token_ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("token_ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
-        *(["token_ids"] if keep_ids else []),
-    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        spelled = _cache(path).spelled
+        for rows in _decode(_encode(batches, path, "token_ids"), path, "decoded", keep_ids=True):
+            id_, ids, texts = rows.columns
+            digests = [hexdigest(" ".join([spelled[i] for i in one])) for one in _lists(ids)]
+            columns = [id_, pc.list_value_length(ids).cast(pa.int64()), pa.array(digests, pa.string()), pa.array(map(hexdigest, texts.to_pylist()), pa.string())]
+            yield pa.RecordBatch.from_arrays([*columns, *([ids] if keep_ids else [])], names=names)
+
+    wanted, schema = _with_column(docs, [id_column], text_column, "token_ids", ArrayType(IntegerType(), False))
+    found = [("n_tokens", LongType()), ("ids_sha256", StringType()), ("decoded_sha256", StringType())]
+    schema = StructType([schema[0], *[StructField(n, kind, False) for n, kind in found], *(schema.fields[1:] if keep_ids else [])])
+    names = schema.names
+    return wanted.mapInArrow(run, schema)
