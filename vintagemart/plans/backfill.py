@@ -24,6 +24,7 @@ from ..schemas import FEEDS
 from ..sources.calendar import day_of, months_between, slice_months, trailing_months
 from ..sources.snapshots import (
     PARTITION,
+    Buckets,
     Staged,
     Written,
     discard_staged,
@@ -42,17 +43,26 @@ SILVER: dict[str, Callable[[DataFrame], DataFrame]] = {
     "clickstream": cleaning.silver_clickstream,
 }
 
+# Key of the feature tables' buckets.
+CUSTOMER = "customer_id"
+
 # Feeds without which a month of the feature store cannot be built.
 REQUIRED = ("attributes", "financials")
 
 
 @dataclass
 class Mart:
-    """A data mart below one folder, and what this object has written to it."""
+    """A data mart below one folder, and what this object has written to it.
+
+    With ``buckets`` the silver feature tables lie in so many buckets of customers.  Windows and aggregates over
+    them need no exchange; nor do the joins of the feature store, in a session that allows tables dealt by a part of
+    the key to be joined as they are (``spark.sql.requireAllClusterKeysForCoPartition`` set to false).
+    """
 
     spark: SparkSession
     root: str
     bronze_format: str = "parquet"
+    buckets: int | None = None
     written: dict[str, Written] = field(default_factory=dict)
     schemas: dict[str, StructType] = field(default_factory=dict, repr=False)
     # Per feed, source rows that belong to no month; of the last store, its coverage totals.
@@ -71,10 +81,11 @@ class Mart:
         *,
         fmt: str = "parquet",
         gather: bool = False,
+        buckets: Buckets | None = None,
         audit: Callable[[Staged], None] | None = None,
     ) -> Written:
         """Stage the rows, audit what was staged, and publish it; a failed audit leaves the table as it was."""
-        staged = stage_snapshots(df, self.path(layer, table), months, fmt=fmt, gather=gather)
+        staged = stage_snapshots(df, self.path(layer, table), months, fmt=fmt, gather=gather, buckets=buckets)
         if audit is not None:
             try:
                 audit(staged)
@@ -163,7 +174,8 @@ def clean(mart: Mart, table: str, months: list[date]) -> Written:
         if table != "loan_daily" and staged.shown:
             checks.require_unique(staged.rows(mart.spark), f"silver {table}")
 
-    return mart.write("silver", table, SILVER[table](mart.bronze(table, months)), months, audit=audit)
+    buckets = Buckets(CUSTOMER, mart.buckets) if mart.buckets and table != "loan_daily" else None
+    return mart.write("silver", table, SILVER[table](mart.bronze(table, months)), months, buckets=buckets, audit=audit)
 
 
 def backfill_labels(
@@ -183,6 +195,13 @@ def backfill_labels(
     return mart.label_store(months)
 
 
+def assembled(mart: Mart, months: list[date]) -> DataFrame:
+    """The feature store of the given months, from the silver tables."""
+    history = sorted({m for month in months for m in trailing_months(month)})
+    silver = [mart.silver(table, wanted) for table, wanted in (("attributes", months), ("financials", months), ("clickstream", history))]
+    return features.feature_store(*silver)
+
+
 def build_feature_store(mart: Mart, months: list[date]) -> Written:
     """Gold features of the given months from the silver tables.
 
@@ -195,11 +214,7 @@ def build_feature_store(mart: Mart, months: list[date]) -> Written:
     for table in REQUIRED:
         present = snapshots_present(mart.spark, mart.path("silver", table))
         checks.require_snapshots(present, months, f"silver {table}")
-    attributes = mart.silver("attributes", months)
-    financials = mart.silver("financials", months)
-    history = sorted({m for month in months for m in trailing_months(month)})
-    clicks = mart.silver("clickstream", history)
-    store = features.feature_store(attributes, financials, clicks)
+    store = assembled(mart, months)
     # Coverage is counted by the job that writes.
     seen = Observation()
     store = store.observe(seen, *[F.coalesce(F.sum(flag), F.lit(0)).alias(name) for flag, name in features.COVERAGE_TOTALS.items()])

@@ -19,11 +19,13 @@ FOLDER = "published"
 
 
 class Shown(NamedTuple):
-    """One month: the run that wrote it, its folders below that run, and its rows."""
+    """One month: the run that wrote it, its folders below that run, its rows, and the buckets they lie in, if any."""
 
     run: str
     folders: list[str]
     rows: int
+    # Column and number.
+    buckets: list | None = None
 
 
 def file_system(spark: SparkSession, path: str):

@@ -6,6 +6,9 @@ away.  Publishing is one small file that names the run of every month (see ``poi
 months of a run become visible together, other months stay as they are, and a run that
 fails or dies before that has changed nothing.  The file also holds the rows of every month,
 counted by the job that wrote them.  Reading a few months touches only their partitions.
+
+A table may lie in buckets of a key: then each run is dealt by that key when it is written, and months of
+the same buckets are read as one bucketed table, so that joins, aggregates and windows by the key need no exchange.
 """
 
 from __future__ import annotations
@@ -68,6 +71,17 @@ def _options(fmt: str) -> dict:
     return CSV_OPTIONS if fmt == "csv" else {}
 
 
+@dataclass(frozen=True)
+class Buckets:
+    """Rows are dealt into so many buckets by a hash of the column.
+
+    As many as tasks the largest table asks for; every month has a file in each.
+    """
+
+    column: str
+    number: int
+
+
 @dataclass(frozen=True)
 class Written:
     """What one write put into a table, counted by the write itself."""
@@ -99,14 +113,21 @@ class Staged:
 
 
 def stage_snapshots(
-    df: DataFrame, path: str, months: Iterable[str | date] = (), *, fmt: str = "parquet", gather: bool = False
+    df: DataFrame,
+    path: str,
+    months: Iterable[str | date] = (),
+    *,
+    fmt: str = "parquet",
+    gather: bool = False,
+    buckets: Buckets | None = None,
 ) -> Staged:
     """Write the rows by month to a run of their own; readers do not see it.
 
     ``gather`` first brings the rows of a month together.  It is a rebalance, not
     a plain repartition: a month with a large share of the rows is split over
     several tasks and small ones share one, so files have an even size.  Leave it
-    off for rows that come from a table already laid out by month.
+    off for rows that come from a table already laid out by month.  ``buckets`` (of a Parquet table) deals the
+    rows by a key instead.
 
     ``months`` are the months this run is about; the rows of each are counted by the stage that
     writes.  A month that is not a date fails the write.
@@ -115,7 +136,9 @@ def stage_snapshots(
     asked = sorted({parse_day(m) for m in months})
     day, month = day_of(df, PARTITION), F.col(PARTITION)
     df = df.withColumn(PARTITION, only_if(month.isNull() | day.isNotNull(), "a snapshot month is not a date", month))
-    if gather:
+    if buckets:
+        df = df.repartition(buckets.number, buckets.column)
+    elif gather:
         df = df.hint("rebalance", F.col(PARTITION))
     # Observed in the stage that writes, where a task that is run again counts once.
     seen = Observation()
@@ -127,7 +150,14 @@ def stage_snapshots(
     )
     run = f"r{uuid.uuid4().hex}"
     folder = f"{path}/data/run={run}"
-    counted.write.partitionBy(PARTITION).format(fmt).options(**_options(fmt)).save(folder)
+    writer = counted.write.partitionBy(PARTITION).format(fmt).options(**_options(fmt))
+    if buckets:
+        # Only tables of the catalog are written in buckets; the files stay when the table is forgotten.
+        name = f"vintagemart_{run}"
+        writer.bucketBy(buckets.number, buckets.column).sortBy(buckets.column).option("path", folder).saveAsTable(name)
+        spark.sql(f"drop table {name}")
+    else:
+        writer.save(folder)
     folders: dict[str, list[str]] = {}
     for name in pointer.names_below(spark, folder):
         if name.startswith(f"{PARTITION}="):
@@ -139,7 +169,8 @@ def stage_snapshots(
         whole = _read(spark, path, schema, [pointer.Shown(run, sorted(sum(folders.values(), [])), 0)], fmt)
         days = whole.groupBy(day_of(whole, PARTITION).cast("string").alias("day")).count().collect()
         counts = {r.day or "": r["count"] for r in days}
-    shown = {m: pointer.Shown(run, sorted(names), counts[m]) for m, names in folders.items()}
+    layout = [buckets.column, buckets.number] if buckets else None
+    shown = {m: pointer.Shown(run, sorted(names), counts[m], layout) for m, names in folders.items()}
     return Staged(path, run, fmt, schema, shown, asked)
 
 
@@ -208,7 +239,39 @@ def _by_day(shown: dict[str, pointer.Shown]) -> dict[date | None, int]:
     return {parse_day(m) if m else None: s.rows for m, s in shown.items()}
 
 
+# Names of bucketed tables this process has made in the catalog, by application.
+_TABLES: dict[str, list[str]] = {}
+
+
+def forget_tables(spark: SparkSession) -> None:
+    """Take the bucketed tables this application has read out of the catalog; their files stay.
+
+    DataFrames made of them cannot be run any more.  A catalog in memory ends with its application anyway.
+    """
+    for name in _TABLES.pop(spark.sparkContext.applicationId, []):
+        spark.sql(f"drop table if exists {name}")
+
+
+def _bucketed(spark: SparkSession, path: str, schema: StructType, shown: list[pointer.Shown]) -> DataFrame:
+    """Months of the same buckets as one table, whose partitions lie where their runs wrote them."""
+    column, number = shown[0].buckets
+    name = f"vintagemart_{uuid.uuid4().hex}"
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+    spark.sql(
+        f"create table {name} ({columns}) using parquet partitioned by (`{PARTITION}`) "
+        f"clustered by (`{column}`) sorted by (`{column}`) into {number} buckets location '{path}/data'"
+    )
+    _TABLES.setdefault(spark.sparkContext.applicationId, []).append(name)
+    places = [(unquote(folder.removeprefix(f"{PARTITION}=")), f"{path}/data/run={s.run}/{folder}") for s in shown for folder in s.folders]
+    spark.sql(f"alter table {name} add " + " ".join(f"partition (`{PARTITION}`='{value}') location '{at}'" for value, at in places))
+    return spark.table(name).select(*schema.names)
+
+
 def _read(spark: SparkSession, path: str, schema: StructType, shown: Iterable[pointer.Shown], fmt: str) -> DataFrame:
+    shown = list(shown)
+    dated = all(NO_DATE not in folder for s in shown for folder in s.folders)
+    if shown and dated and shown[0].buckets and all(s.buckets == shown[0].buckets for s in shown):
+        return _bucketed(spark, path, schema, shown)
     folders = [f"{path}/data/run={s.run}/{folder}" for s in shown for folder in s.folders]
     if not folders:
         return spark.createDataFrame([], schema)
