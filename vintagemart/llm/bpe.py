@@ -45,14 +45,14 @@ WORD_END = "</w>"
 NORMALIZERS = ["NFC", "Replace", "Lowercase"]
 
 # White-space runs a worker remembers before it starts over, and symbols merged at once.
-CACHE_RUNS = 300_000
+CACHE_RUNS = 150_000
 ROW_SYMBOLS = 4_000_000
 
 # Lists of at most so many positions are merged one by one.
 SHORT_LIST = 24
 
 # Bytes of text whose new runs are learned together, and rows whose ids are decoded together.
-LEARN_BYTES = 3 << 20
+LEARN_BYTES = 5 << 20
 DECODE_ROWS = 500
 
 # Fixed value: the first character after the Latin blocks, which no Unicode version changes.
@@ -300,10 +300,15 @@ class RunCache:
 
     def __init__(self, bpe: PairIndexBpe, limit: int = CACHE_RUNS):
         self.bpe, self.limit = bpe, limit
-        self.spelled = {i: str(i) for i in bpe.pieces}
+        # What each id is spelled as and stands for, by its number.
+        self.spelled = pa.array([str(i) for i in range(bpe.size)])
+        self.pieces = pa.array([bpe.pieces.get(i) for i in range(bpe.size)], pa.string())
         self.words: dict[str, bytes] = {}
         self.of: dict[str, bytes] = {}
 
+    def forget(self) -> None:
+        self.words, self.of = {}, {}
+
     def learn(self, runs: set[str]) -> None:
         new = [r for r in runs if r not in self.of]
         if not new:
@@ -357,20 +362,30 @@ def _encode(batches: Iterator[pa.RecordBatch], path: str, ids_column: str) -> It
         ends = np.cumsum([0, *map(len, found)]) // 4
         ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(found), dtype=np.int32)))
         yield pa.RecordBatch.from_arrays([*rows.columns[:-1], ids], names=[*rows.schema.names[:-1], ids_column])
+    # Workers outlive their tasks, and other stages need their memory.
+    cache.forget()
 
 
-def _lists(ids: pa.ListArray) -> Iterator[list[int]]:
-    ends, flat = (ids.offsets.to_numpy() - ids.offsets[0].as_py()).tolist(), ids.flatten().to_pylist()
-    return (flat[a:b] for a, b in zip(ends[:-1], ends[1:]))
+def _joined(ids: pa.ListArray, names: pa.Array) -> pa.Array:
+    """The names of each row's ids, joined by a blank; null where an id has none."""
+    flat = ids.flatten()
+    if len(flat) and (pc.min(flat).as_py() < 0 or pc.max(flat).as_py() >= len(names)):
+        flat = pc.if_else(pc.and_(pc.greater_equal(flat, 0), pc.less(flat, len(names))), flat, pa.scalar(None, flat.type))
+    ends = pa.array(ids.offsets.to_numpy() - ids.offsets[0].as_py(), pa.int32())
+    return pc.binary_join(pa.ListArray.from_arrays(ends, names.take(flat)), " ")
 
 
 def _decode(batches: Iterator[pa.RecordBatch], path: str, text_column: str, keep_ids: bool = False) -> Iterator[pa.RecordBatch]:
     """The batches with texts in place of (or, to keep them, after) the ids, which are the last column."""
-    decode = _cache(path).bpe.decode
+    cache = _cache(path)
     for batch in batches:
         for start in range(0, batch.num_rows, DECODE_ROWS):
             rows = batch.slice(start, DECODE_ROWS)
-            texts = pa.array(map(decode, _lists(rows.columns[-1])), pa.string())
+            ids = rows.columns[-1]
+            texts = _joined(ids, cache.pieces)
+            if texts.null_count:
+                # Ids that the vocabulary does not have are left out.
+                texts = pa.array([cache.bpe.decode(i) if t is None else t for i, t in zip(ids.to_pylist(), texts.to_pylist())], pa.string())
             kept = len(rows.columns) - (not keep_ids)
             yield pa.RecordBatch.from_arrays([*rows.columns[:kept], texts], names=[*rows.schema.names[:kept], text_column])
 
@@ -406,8 +421,8 @@ def round_trips(docs: DataFrame, path: str, *, id_column: str = "doc_id", text_c
         spelled = _cache(path).spelled
         for rows in _decode(_encode(batches, path, "token_ids"), path, "decoded", keep_ids=True):
             id_, ids, texts = rows.columns
-            digests = [hexdigest(" ".join([spelled[i] for i in one])) for one in _lists(ids)]
-            columns = [id_, pc.list_value_length(ids).cast(pa.int64()), pa.array(digests, pa.string()), pa.array(map(hexdigest, texts.to_pylist()), pa.string())]
+            digests = [pa.array(map(hexdigest, t.to_pylist()), pa.string()) for t in (_joined(ids, spelled), texts)]
+            columns = [id_, pc.list_value_length(ids).cast(pa.int64()), *digests]
             yield pa.RecordBatch.from_arrays([*columns, *([ids] if keep_ids else [])], names=names)
 
     wanted, schema = _with_column(docs, [id_column], text_column, "token_ids", ArrayType(IntegerType(), False))
