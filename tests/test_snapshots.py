@@ -3,7 +3,7 @@
 from datetime import date
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrameWriter, functions as F
 
 from vintagemart.operators import checks, trailing
 from vintagemart.plans import backfill
@@ -76,6 +76,27 @@ def test_writing_a_month_twice_changes_nothing_else(spark, tmp_path):
         assert rows(S.read_snapshots(spark, path, df.schema)) == rows(df)
 
 
+def test_rows_are_written_by_month_without_a_sort(spark, tmp_path, monkeypatch):
+    conf, seen, save = "spark.sql.maxConcurrentOutputFileWriters", [], DataFrameWriter.save
+    before = spark.conf.get(conf)
+
+    def watched(self, *args, **kwargs):
+        seen.append(int(spark.conf.get(conf)))
+        return save(self, *args, **kwargs)
+
+    monkeypatch.setattr(DataFrameWriter, "save", watched)
+    df = spark.range(60).selectExpr("cast(id as int) as v", "add_months(date'2024-01-01', cast(id % 6 as int)) as snapshot_date").coalesce(1)
+    # Fewer open files than months: the rest is sorted, and nothing is lost.
+    for i, most in enumerate((S.OPEN_MONTHS, 2)):
+        monkeypatch.setattr(S, "OPEN_MONTHS", most)
+        assert S.write_snapshots(df, str(tmp_path / f"t{i}")).rows == 60
+        assert rows(S.read_snapshots(spark, str(tmp_path / f"t{i}"), df.schema)) == rows(df)
+        assert S.rows_by_month(spark, str(tmp_path / f"t{i}")) == {date(2024, m, 1): 10 for m in range(1, 7)}
+    with pytest.raises(Exception, match="not a date"):
+        S.write_snapshots(df.withColumn("snapshot_date", F.lit("soon")), str(tmp_path / "bad"))
+    assert seen == [64, 2, 2] and spark.conf.get(conf) == before
+
+
 def test_month_that_lost_its_rows_keeps_its_snapshot_unless_told(spark, tmp_path):
     path = str(tmp_path / "t")
     df = spark.createDataFrame([(i, date(2024, 1 + i % 2, 1)) for i in range(4)], "v int, snapshot_date date")
