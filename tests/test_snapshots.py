@@ -97,6 +97,28 @@ def test_rows_are_written_by_month_without_a_sort(spark, tmp_path, monkeypatch):
     assert seen == [64, 2, 2] and spark.conf.get(conf) == before
 
 
+def test_feed_is_written_in_compressed_files_of_bounded_rows(spark, small, tmp_path, monkeypatch):
+    monkeypatch.setattr(S, "FEED_FILE_ROWS", 1000)
+    feed = standins.loan_daily(spark, small).limit(2500).coalesce(1)
+    S.write_feed(feed, str(tmp_path / "f"))
+    assert sorted(p.suffixes[-2:] for p in (tmp_path / "f").glob("part-*")) == [[".csv", ".gz"]] * 3
+    assert rows(S.read_feed(spark, str(tmp_path / "f"), LEDGER)) == rows(feed)
+
+
+def test_many_months_land_without_a_shuffle(spark, feeds, tmp_path):
+    seen = []
+
+    class Watched(Mart):
+        def write(self, layer, table, df, months, **options):
+            seen.append((layer, options["gather"], "Exchange" in df._jdf.queryExecution().executedPlan().toString()))
+            return super().write(layer, table, df, months, **options)
+
+    mart = Watched(spark, str(tmp_path / "m"))
+    assert land(mart, "loan_daily", feeds["loan_daily"], months_between("2023-01-01", "2024-12-01")).rows == 16500
+    land(mart, "loan_daily", feeds["loan_daily"], months_between("2023-01-01", "2023-01-01"))
+    assert seen == [("bronze", False, False), ("bronze", True, False)]
+
+
 def test_month_that_lost_its_rows_keeps_its_snapshot_unless_told(spark, tmp_path):
     path = str(tmp_path / "t")
     df = spark.createDataFrame([(i, date(2024, 1 + i % 2, 1)) for i in range(4)], "v int, snapshot_date date")

@@ -46,6 +46,10 @@ SILVER: dict[str, Callable[[DataFrame], DataFrame]] = {
 # Key of the feature tables' buckets.
 CUSTOMER = "customer_id"
 
+# Rows of up to so many months are brought together when they land; those of more months, which may be all rows of
+# a feed, are not shuffled for that.
+GATHERED_MONTHS = 3
+
 # Feeds without which a month of the feature store cannot be built.
 REQUIRED = ("attributes", "financials")
 
@@ -139,7 +143,8 @@ def land(mart: Mart, table: str, source: str, months: list[date]) -> Written:
     """Bronze: the rows of the given months, laid out by month; only their month text is trimmed.
 
     Rows of the source that belong to no month of any run, because their date is
-    unreadable or not the first of a month, are counted in ``mart.unplaced``.
+    unreadable or not the first of a month, are counted in ``mart.unplaced``.  Rows of many months
+    are written by the tasks that read them, which are no more than a shuffle would have: so many files has a month at most.
     """
     raw = read_feed(mart.spark, source, FEEDS[table])
     day, seen = day_of(raw), Observation()
@@ -150,7 +155,10 @@ def land(mart: Mart, table: str, source: str, months: list[date]) -> Written:
     )
     kept = slice_months(counted, months)
     kept = kept.withColumn(PARTITION, day.cast(kept.schema[PARTITION].dataType))
-    done = mart.write("bronze", table, kept, months, fmt=mart.bronze_format, gather=True)
+    few = len(months) <= GATHERED_MONTHS
+    if not few:
+        kept = kept.coalesce(int(mart.spark.conf.get("spark.sql.shuffle.partitions")))
+    done = mart.write("bronze", table, kept, months, fmt=mart.bronze_format, gather=few)
     mart.unplaced[table] = dict(seen.get)
     return done
 
