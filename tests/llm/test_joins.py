@@ -125,6 +125,31 @@ def test_components(spark):
     assert components.components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
 
 
+@pytest.mark.parametrize("edges, rounds", [([(5, 1), (1, 7), (9, 2), (9, 9)], 0), ([(3, 2), (2, 1)], 1), ([(3, 1), (3, 2)], 1), ([], 0)])
+def test_components_of_stars_take_no_round(spark, monkeypatch, edges, rounds):
+    names, real = [], components.written
+    monkeypatch.setattr(components, "written", lambda df, name: names.append(name) or real(df, name))
+    found = components.components(spark.createDataFrame(edges, "a bigint, b bigint"))
+    assert names == ["edges"] + ["stars"] * rounds
+    roots = {node: 1 for node in (2, 3)} if rounds else {5: 1, 7: 1, 9: 2} if edges else {}
+    assert {r.node: r.root for r in found.collect()} == roots
+
+
+def test_counters_come_in_few_parts(spark, monkeypatch):
+    parts, real = [], type(spark.range(1)).toLocalIterator
+    monkeypatch.setattr(type(spark.range(1)), "toLocalIterator", lambda self, *a: parts.append(self.rdd.getNumPartitions()) or real(self, *a))
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    texts = [f"word{i % 7} and some more words here {i % 9}" for i in range(40)]
+    try:
+        for key, value in zip(before, (40, "false")):
+            spark.conf.set(key, value)
+        jaccard.classes(documents(spark, texts)).count()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert len(parts) >= 2 and max(parts) <= jaccard.PARTS
+
+
 def test_sets_that_share_a_number_are_told_apart(spark, monkeypatch):
     """Numbers of three values only: nearly all sets share theirs with others."""
     real = jaccard.set_number
