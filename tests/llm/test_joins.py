@@ -185,6 +185,53 @@ def test_counters_in_two_bits():
     assert jaccard._unpacked(packed).tolist() == [1, 3, 1, 0, 0, 2] + [0] * 9 + [3]
 
 
+def test_sets_that_share_few_shingles_stay_out_of_regions(spark, monkeypatch):
+    """Each text shares a passage with the next one; counters too few for the corpus must not bring them into regions."""
+    monkeypatch.setattr(jaccard, "FINE", 1 << 8)
+    monkeypatch.setattr(jaccard, "WIDE", 1 << 6)
+    rng = random.Random(4)
+    texts = [" ".join([f"p{i} q{i} r{i} s{i} t{i} u{i}"] + [f"w{rng.randrange(10**6)}" for _ in range(80)] + [f"p{i + 1} q{i + 1} r{i + 1} s{i + 1} t{i + 1} u{i + 1}"]) for i in range(60)]
+    copies = [texts[0] + " more", texts[30] + " and more"]
+    seen, real = [], jaccard.join_regions
+    monkeypatch.setattr(jaccard, "join_regions", lambda texts, chosen, *a: seen.extend(r.row.id for r in chosen.collect()) or real(texts, chosen, *a))
+    found = jaccard.classes(documents(spark, texts + copies).repartition(5))
+    assert sorted(map(tuple, found.collect())) == brute_classes(texts + copies)
+    assert sorted(seen) == [0, 30, 60, 61]
+
+
+@pytest.mark.parametrize("most, size", [(20_000, 7), (3, 7), (3, 1), (2, 10_000)])
+def test_linked_sets_share_a_needed_key(monkeypatch, most, size):
+    """The three steps of the first regions, in batches of any size and with keys of more sets than are held."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(jaccard, "HELD_SETS", most)
+    rng = random.Random(most + size)
+    texts = [t for n, words, edits in ((25, 60, 4), (9, 150, 8), (6, 20, 1), (5, 9, 1)) for t in family(rng, n, words, edits)] + ["a b", "a b c d e f"]
+    sets = {jaccard.set_number(g): g for g in jaccard.shingle_sets(texts)}
+
+    def run(step, names, rows):
+        table = pa.table({n: pa.array([r[i] for r in rows], pa.int64()) for i, n in enumerate(names)})
+        return [tuple(r.values()) for b in step(jaccard.THRESHOLD, iter(table.to_batches(max_chunksize=size))) for r in b.to_pylist()]
+
+    keyed = sorted((k, len(g), n) for n, g in sets.items() for k in jaccard.first_keys(g).view(np.int64).tolist())
+    held = run(jaccard._held_by_others, ["key", "n", "set"], sorted(keyed + keyed[::3]))
+    assert len(held) == len({r[:3] for r in held}) and {r[:3] for r in held} <= set(keyed)
+    for key, n, number, holders in held:
+        near = [m for k, m, _ in keyed if k == key and min(m, n) >= 0.8 * max(m, n)]
+        assert min(len(near), most) >= 2 and holders >= min(len(near), most)
+    needed = run(jaccard._needed, ["set", "n", "key"], [(s, n, k) for s, _, k, n in sorted((s, h, k, n) for k, n, s, h in held)])
+    root = {n: n for n in sets}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in run(jaccard._share_a_key, ["key", "n", "set"], sorted((k, n, s) for s, n, k in needed)):
+        root[find(a)] = find(b)
+    assert all(find(a) == find(b) for a, x in sets.items() for b, y in sets.items() if jaccard.links(x, y))
+
+
 def brute_rest(texts, width):
     words = [(t or "").encode().split() for t in texts]
     seen = Counter(tuple(w[i : i + width]) for w in words for i in range(len(w) - width + 1))
