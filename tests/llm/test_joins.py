@@ -232,6 +232,24 @@ def test_linked_sets_share_a_needed_key(monkeypatch, most, size):
     assert all(find(a) == find(b) for a, x in sets.items() for b, y in sets.items() if jaccard.links(x, y))
 
 
+def test_rows_that_stay_are_not_moved(spark, monkeypatch):
+    """Only rows that go, and rows equal in id and text, are dealt out anew; a null id and a repeated row come out right."""
+    text = " ".join(f"w{i}" for i in range(60))
+    rows = [(i, f"{i} " + text.replace("w", f"v{i}_"), "s") for i in range(40)] + [(None, text, "s"), (50, text + " x", "s"), (51, text, "s"), (None, text, "s")]
+    rows += [(60, "twice in all", "s"), (60, "twice in all", "t"), (None, "no id", "s"), (None, "no id", "s"), (None, None, "s"), (70, " ", "s"), (70, " ", "s")]
+    docs = documents(spark, rows).repartition(4)
+    marked, real = [], jaccard._flags
+    monkeypatch.setattr(jaccard, "_flags", lambda chosen, bits: marked.append(sorted(map(str, (r.row.id for r in chosen.collect())))) or real(chosen, bits))
+    kept = jaccard.keep_smallest(docs)
+    assert kept.columns == docs.columns
+    want = [(i, rows[i][1]) for i in range(40)] + [(50, text + " x"), (60, "twice in all"), (None, "no id"), (None, None), (70, " "), (70, " ")]
+    found = [(r.doc_id, r.text) for r in kept.collect()]
+    assert sorted(found, key=str) == sorted(want, key=str)
+    assert marked[-1] == ["51", "60", "None", "None"]
+    near = jaccard.keep_smallest(docs.where("doc_id is null or doc_id > 50"))
+    assert sorted(map(str, ((r.doc_id, r.text) for r in near.collect()))) == sorted(map(str, [(51, text), *want[41:]]))
+
+
 def brute_rest(texts, width):
     words = [(t or "").encode().split() for t in texts]
     seen = Counter(tuple(w[i : i + width]) for w in words for i in range(len(w) - width + 1))
