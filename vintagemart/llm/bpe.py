@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, DataType, IntegerType, LongType, StringType, StructField, StructType
 from tokenizers import Regex, Tokenizer, pre_tokenizers
 
-from .text import blocks, hexdigest
+from .text import blocks, give_back, hexdigest
 
 # The layout of a vocabulary file that this encoder can read.
 MODEL_TYPE = "BPE"
@@ -424,6 +424,8 @@ def round_trips(docs: DataFrame, path: str, *, id_column: str = "doc_id", text_c
             digests = [pa.array(map(hexdigest, t.to_pylist()), pa.string()) for t in (_joined(ids, spelled), texts)]
             columns = [id_, pc.list_value_length(ids).cast(pa.int64()), *digests]
             yield pa.RecordBatch.from_arrays([*columns, *([ids] if keep_ids else [])], names=names)
+            del rows, id_, ids, texts, digests, columns
+            give_back()
 
     wanted, schema = _with_column(docs, [id_column], text_column, "token_ids", ArrayType(IntegerType(), False))
     found = [("n_tokens", LongType()), ("ids_sha256", StringType()), ("decoded_sha256", StringType())]
